@@ -6,12 +6,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from typolens.functions.keys import clean_value, reference_key
+from typolens.llm.blocks import boilerplate_lines, main_bodies
 from typolens.llm.group_topn import top_n_per_group
+from typolens.llm.language import page_languages
+from typolens.llm.residue import residue_fields, residue_report
+from typolens.llm.truncation import truncated_texts, truncation_by_source
 from typolens.session import table
 
 WS = r"\t-\r\x1c-\x1f \x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate_lines(table(spark, sf_dir, "crawl_pages"))
+
+
+def p2_main_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_bodies(table(spark, sf_dir, "crawl_pages"))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_languages(table(spark, sf_dir, "crawl_pages")).filter("differs").select("page_id", "line_no", "lang")
+
+
+def p3_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_languages(table(spark, sf_dir, "crawl_pages")).select("page_id", "line_no", "lang", "confidence")
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue_fields(table(spark, sf_dir, "crawl_pages")).select("page_id", "field_name")
+
+
+def p6_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue_report(table(spark, sf_dir, "crawl_pages"))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncated_texts(table(spark, sf_dir, "documents")).select("doc_id")
+
+
+def p10_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation_by_source(table(spark, sf_dir, "documents"))
+
+
 def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "match_rows").select(
         clean_value(F.col("brand")).alias("brand"), "match_id", "final_score", "distance", "score_jarowinkler",
@@ -32,7 +68,7 @@ def p7_top_misspellings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p7_found, p7_top_misspellings)}
+    return {f.__name__: f for f in (p2_found, p2_main_bodies, p3_found, p3_languages, p6_found, p6_messages, p7_found, p7_top_misspellings, p10_found, p10_by_source)}
 
 
 def _p7_sql(cols: str) -> str:
