@@ -30,7 +30,7 @@ DUMMY = (
     "laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident "
     "sunt culpa qui officia deserunt mollit anim id est laborum"
 ).split()
-#: Pages whose labelled text the likelihoods are fitted on, at most.
+#: Labelled pages whose text the likelihoods are fitted on.
 SAMPLE_PAGES = 3000
 MIN_SEGMENT_WORDS = 8
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -221,9 +221,15 @@ def _decide(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def sample_lines(pages: DataFrame, id_col: str, text_col: str, lang_col: str, sample_pages: int = SAMPLE_PAGES) -> list[tuple[str, str]]:
-    """Lines of at most ``sample_pages`` labelled pages, always the same ones (least hash of the id)."""
-    some = pages.filter(F.length(text_col) > 0).select(F.xxhash64(id_col).alias("h"), F.col(id_col).alias("i"), label_language(F.col(lang_col)).alias("k"), F.col(text_col).alias("t")).filter(F.col("k").isin(LANGUAGES))
-    return [(r["k"], line) for r in some.orderBy("h", "i").limit(sample_pages).collect() for line in r["t"].split("\n")]
+    """Lines of about ``sample_pages`` labelled pages (never over twice as many), always the same ones by hash of the id.
+
+    A count first, then a threshold on the hash: tasks send only rows of the sample, however many tasks there are.
+    """
+    labelled = pages.filter(F.length(text_col) > 0).select(F.xxhash64(id_col).alias("h"), label_language(F.col(lang_col)).alias("k"), F.col(text_col).alias("t")).filter(F.col("k").isin(LANGUAGES))
+    total = labelled.count()
+    if total > sample_pages:
+        labelled = labelled.filter(F.col("h") < int(-(2**63) + 2**64 * (sample_pages / total)))
+    return [(r["k"], line) for r in labelled.limit(2 * sample_pages).collect() for line in r["t"].split("\n")]
 
 
 def page_languages(pages: DataFrame, id_col: str = "page_id", text_col: str = "main_content", lang_col: str = "lang", host_col: str = "domain", nav_col: str = "nav_links", model: TextModel | None = None) -> DataFrame:
@@ -232,7 +238,7 @@ def page_languages(pages: DataFrame, id_col: str = "page_id", text_col: str = "m
     ``differs`` says for a page that its label is missing or names another language, for a line that it is in another
     language than the page's main one (that of most words of the main body). Pages without text, without letters or
     with nothing but dummy text have no rows; a null host gets the prior of the whole. If no page is labelled, the
-    text model is empty and the priors decide. Likelihoods are fitted on at most ``SAMPLE_PAGES`` labelled pages,
+    text model is empty and the priors decide. Likelihoods are fitted on a bounded sample (``SAMPLE_PAGES`` labelled pages),
     priors on all. Only evidence (44 bytes a line), never text, is shuffled to the host priors; AQE splits a hot host.
     """
     model = model or fit_text_model(sample_lines(pages, id_col, text_col, lang_col))

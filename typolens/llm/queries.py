@@ -9,6 +9,8 @@ from typolens.functions.keys import clean_value, reference_key
 from typolens.llm.blocks import boilerplate_lines, main_bodies
 from typolens.llm.group_topn import top_n_per_group
 from typolens.llm.language import page_languages
+from typolens.llm.leakage import leaked_items
+from typolens.llm.mixture import mix_sources, mixture_shares
 from typolens.llm.residue import residue_fields, residue_report
 from typolens.llm.truncation import truncated_texts, truncation_by_source
 from typolens.session import table
@@ -40,6 +42,23 @@ def p6_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue_report(table(spark, sf_dir, "crawl_pages"))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
+
+
+def p8_leaks_by_item(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+    return found.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_docs"), F.max("words").alias("most_words"))
+
+
+def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture_shares(p9_mixture(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncated_texts(table(spark, sf_dir, "documents")).select("doc_id")
 
@@ -68,7 +87,7 @@ def p7_top_misspellings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p2_main_bodies, p3_found, p3_languages, p6_found, p6_messages, p7_found, p7_top_misspellings, p10_found, p10_by_source)}
+    return {f.__name__: f for f in (p2_found, p2_main_bodies, p3_found, p3_languages, p6_found, p6_messages, p7_found, p7_top_misspellings, p8_found, p8_leaks_by_item, p9_mixture, p9_shares, p10_found, p10_by_source)}
 
 
 def _p7_sql(cols: str) -> str:
