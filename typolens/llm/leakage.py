@@ -25,12 +25,10 @@ WINDOW = 8
 MIN_STRETCH = 8
 MIN_WORDS = 20
 #: Walks, keys sampled from each walk, output positions in a key, steps of a walk.
-WALKS, KEYS_PER_WALK, SAMPLED, STEPS = 2, 3, 6, 14
-#: Keys that have to agree along one alignment for a pair to be verified.
-MIN_AGREEING = 3
+WALKS, KEYS_PER_WALK, SAMPLED, STEPS = 2, 3, 5, 12
 #: Items that one index holds; more are searched in blocks.
 BLOCK_ITEMS = 20_000
-_TABLE_BITS = 22
+_TABLE_BITS = 20
 _PAD = 0
 
 _WORD = re.compile(r"\w+")
@@ -50,6 +48,21 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+_FOLD = bytes(c + 32 if 65 <= c <= 90 else c if chr(c).isalnum() or c == 95 else 32 for c in range(128)) + bytes([32]) * 128
+
+
+def word_ids(text: str, ids: dict[str | bytes, int]) -> np.ndarray:
+    """Numbers of the words of a text, 1 for unknown ones. Plain texts take a byte-wise way to the same words."""
+    if text.isascii() and "&" not in text:
+        if "-" in text:
+            text = _JOINED.sub("", text)
+        words = text.encode().translate(_FOLD).split()
+    else:
+        words = words_of(text)
+    get = ids.get
+    return np.array([get(w, 1) for w in words], dtype=np.int32)
+
+
 def own_passages(items: list[tuple[int, str]]) -> list[tuple[int, list[str]]]:
     """Words of each item without the leading and trailing parts (up to a stop or colon) that other items share."""
     parts = [(i, [words_of(p) for p in _PARTS.split(t or "")]) for i, t in items]
@@ -79,7 +92,8 @@ class CgkIndex:
         self.items = [(i, w) for i, w in items if len(w) >= MIN_STRETCH]
         vocab = sorted({x for _, w in self.items for x in w})
         #: 0 is padding, 1 any word that no item has.
-        self.ids = {x: k + 2 for k, x in enumerate(vocab)}
+        self.ids: dict[str | bytes, int] = {x: k + 2 for k, x in enumerate(vocab)}
+        self.ids |= {x.encode(): k for x, k in self.ids.items()}
         size = len(vocab) + 2
         self.bits = rng.integers(0, 2, size=(WALKS, STEPS, size), dtype=np.int8)
         self.code = rng.integers(1, 2**62, size=(STEPS, size), dtype=np.int64) | 1
@@ -89,7 +103,6 @@ class CgkIndex:
         keys = self.keys(flat)
         start = np.flatnonzero(owner >= 0)
         self.flat, self.item_at = flat, owner
-        self.item_from = np.cumsum([0] + [len(t) + WINDOW for t in self.passages])
         self.lookup: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for k in keys:
             v = k[start]
@@ -123,7 +136,6 @@ class CgkIndex:
             last = max(max(p) for p in self.picks[walk])
             for step in range(last + 1):
                 sym = ext[base + i]
-                sym[i >= WINDOW] = _PAD
                 used = [a for a, p in zip(acc, self.picks[walk]) if step == 0 or step in p]
                 if used:
                     c = self.code[step][sym]
@@ -135,35 +147,28 @@ class CgkIndex:
         return out
 
     def candidates(self, docs: list[np.ndarray]) -> set[tuple[int, int]]:
-        """Pairs (document, item) of which windows agree in at least ``MIN_AGREEING`` keys along one alignment."""
+        """Pairs (document, item) with windows that share a key and differ by single replaced words only."""
         flat, owner = self._lay(docs)
         mask = (1 << _TABLE_BITS) - 1
-        seen: list[np.ndarray] = []
+        step = np.arange(WINDOW + 1)
+        found: list[np.ndarray] = []
         for k, (values, place, table) in zip(self.keys(flat), self.lookup):
-            hit = np.flatnonzero(table[k & mask] & (owner >= 0))
+            hit = np.flatnonzero(table[k & mask])
+            hit = hit[owner[hit] >= 0]
             v = k[hit]
-            lo, hi = np.searchsorted(values, v), np.searchsorted(values, v, side="right")
-            n = hi - lo
+            lo = np.searchsorted(values, v)
+            n = np.searchsorted(values, v, side="right") - lo
             at = np.repeat(hit, n)
-            if len(at):
-                inner = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
-                there = place[np.repeat(lo, n) + inner]
-                # The difference of the places tells document, item and alignment apart.
-                seen.append(np.column_stack([owner[at], self.item_at[there], at - there]))
-        if not seen:
-            return set()
-        rows, agree = np.unique(np.vstack(seen), axis=0, return_counts=True)
-        found: set[tuple[int, int]] = set()
-        doc_from = np.cumsum([0] + [len(t) + WINDOW for t in docs])
-        for d, i, shift in rows[agree >= MIN_AGREEING].tolist():
-            if (d, i) in found:
+            if not len(at):
                 continue
-            # The alignment's part inside both texts: most candidates hold no stretch here and end at this point.
-            a = max(self.item_from[i], doc_from[d] - shift)
-            b = min(self.item_from[i] + len(self.passages[i]), doc_from[d] + len(docs[d]) - shift)
-            if len(_runs(np.flatnonzero(self.flat[a:b] == flat[a + shift : b + shift]))[0]):
-                found.add((d, i))
-        return found
+            there = place[np.repeat(lo, n) + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)]
+            equal = flat[at[:, None] + step] == self.flat[there[:, None] + step]
+            # The first word is part of every key; a stretch of full length has its last word or the one after it.
+            head = equal[:, :WINDOW]
+            near = (head[:, 1:] | head[:, :-1]).all(axis=1) & (equal[:, -1] | equal[:, -2]) & (head.sum(axis=1) > WINDOW // 2)
+            found.append(owner[at[near]].astype(np.int64) << 32 | self.item_at[there[near]])
+        pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, dtype=np.int64)
+        return {(int(p >> 32), int(p & 0xFFFFFFFF)) for p in pairs}
 
 
 def _runs(equal: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -186,6 +191,8 @@ def held_words(doc: np.ndarray, passage: np.ndarray) -> int:
     stretches: list[tuple[int, int, int]] = []
     d_at, p_at = np.nonzero(doc[:, None] == passage[None, :])
     diagonal = d_at - p_at
+    frequent = np.bincount(diagonal + len(passage))[diagonal + len(passage)] > MIN_STRETCH // 2
+    diagonal, p_at = diagonal[frequent], p_at[frequent]
     order = np.lexsort((p_at, diagonal))
     diagonal, p_at = diagonal[order], p_at[order]
     cuts = np.flatnonzero(np.diff(diagonal)) + 1
@@ -225,11 +232,10 @@ def leaked_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
         def run(batches: Iterable[pd.DataFrame], block=block) -> Iterator[pd.DataFrame]:
             index = CgkIndex(block)
-            get = index.ids.get
             for pdf in batches:
                 for part in range(0, len(pdf), 500):
                     ids = pdf["doc_id"].iloc[part : part + 500].tolist()
-                    texts = [np.array([get(w, 1) for w in words_of(t)], dtype=np.int32) for t in pdf["text"].iloc[part : part + 500]]
+                    texts = [word_ids(t, index.ids) for t in pdf["text"].iloc[part : part + 500]]
                     rows = []
                     for d, i in sorted(index.candidates(texts)) if index.items else ():
                         held = held_words(texts[d], index.passages[i])
