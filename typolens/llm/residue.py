@@ -7,11 +7,14 @@ grouped across sources, and each distinct message is classified once by phrase a
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import cache
 
+import ahocorasick
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PLACEHOLDER, FILLER, MESSAGE = "placeholder", "filler", "message"
 
@@ -70,20 +73,49 @@ _LEAKED = re.compile(LEAKED_PARTS)
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 _PARTS = re.compile(r"\s+[|–:-]+\s+|\s+::\s+")
 _WORDS = re.compile(r"[^\W\d_]+")
-
-#: What a line must hold for any rule to apply: a cheap test inside the JVM that spares all other lines.
-TRIGGER = (
-    r"(?i)[{}\[\]<]|%%|@@|__|%\w|\$\{|undefined|\bnull\b|\bnan\b|\blorem\b|\bipsum\b|\bdolor[e]?\b|adipiscing|eiusmod|incididunt|reprehenderit|cillum|aliqu|commodo|consequat|nostrud|ullamco|fugiat|irure|veniam|tempor\b|asdf|qwert|\btest test|goes here|comes here|made for you|double-click|delete it|\badd (?:a|your)|replace this text|steht ihr text|sample|quick brown|xxx|\btbd\b|soon|blindtext|ejemplo|exemplo|exemple|voorbeeldtekst|przykładowy"
-    r"|error|fehler|fout|erreur|\berro|błąd|not found|be found|nicht gefunden|niet gevonden|introuvable|se encuentra|no existe|encontrad[ao]|nie istnieje|not exist|never existed|expired|removed|wrong|mis ge|producido|unavailable|could not be|stack trace|exception|server|denied|denegado|verweigert|refusé|negado|geweigerd|zabroniony|forbidden|blocked|unusual|requests|checking|human|maintenance|wartung|mantenimiento|manutenção|onderhoudsw|przerwa|erreichbar|indisponible|disponib|disponív|niedostępna|beschikbaar|verfügbar|script|untitled|default|new page|index of|nginx|it works|moment|gateway|unauthorized|document"
-)
+_CACHE = 50_000
+
+#: Literals of which a line must hold one for any rule to apply: in any line, in lines of a leaked value's length, and
+#: in lines of a message's length. One automaton finds them in a single pass.
+TRIGGERS = {
+    "any": "{|[|<|%|@@|__|undefined|uncaught|unexpected|lorem|ipsum|dolor|amet|adipiscing|eiusmod|incididunt|labore|aliqu|veniam|nostrud|exercitation|ullamco|laboris|commodo|consequat|reprehenderit|voluptate|cillum|fugiat|pariatur|occaecat|cupidatat|proident|deserunt|mollit|irure|tempor|magna|minim"
+    "|asdf|qwert|test test|ignore this test|goes here|comes here|made for you|was made for|double-click|delete it|delete this|add a|add your|replace this text|hier steht|hier kommt|a sample|sample text|sample page|placeholder|a test |quick brown|xxx|tbd|to be added|to be announced|to be written|blindtext|texto de|texte d'exemple|voorbeeldtekst|przykładowy|your first|an example",
+    "part": "null|nan|none|n/a|untitled|new page|document",
+    "message": "error|fehler|fout|erreur|erro|błąd|found|gefunden|gevonden|introuvable|encuentra|encontrad|no existe|não existe|nie istnieje|nie znaleziono|not exist|never existed|expired|usunięta|removed|forbidden|unavailable|gateway|unauthorized|# gone|too many requests|sorry|oops|entschuldigung|désolé|lo sentimos|przepraszamy|went wrong|producido|aufgetreten|produite|survenue|iets mis|could not be established|stack trace|exception|cannot handle"
+    "|denied|request looked unusual|checking|verify|you are a human|you are human|blocked|verweigert|denegado|refusé|negado|geweigerd|zabroniony|maintenance|back soon|back shortly|back online|erreichbar|indisponible|disponible|disponível|niedostępna|beschikbaar|verfügbar|wartungsarbeiten|mantenimiento|manutenção|onderhoudswerk|przerwa techniczna"
+    "|script|untitled|default|new page|index of /|welcome to nginx|it works|coming soon|moment|null",
+}
+_PART_CHARS, _MESSAGE_CHARS = 120, 220
+
+
+@cache
+def _automaton() -> ahocorasick.Automaton:
+    most = {"any": 1 << 30, "part": _PART_CHARS, "message": _MESSAGE_CHARS}
+    reach: dict[str, int] = {}
+    for kind, text in TRIGGERS.items():
+        for w in text.split("|"):
+            reach[w] = max(reach.get(w, 0), most[kind])
+    a = ahocorasick.Automaton()
+    for w, n in reach.items():
+        a.add_word(w, n)
+    a.make_automaton()
+    return a
+
+
+_ADDRESS = re.compile(r"(?i)\b(?:https?://|www\.)[^\s<>\"]+|\b[\w.+-]+@[\w-]+\.[\w.]+\b")
+_HEX = re.compile(r"(?i)\b(?=[0-9a-f]*\d)[0-9a-f]{6,}\b")
+_NUMBER = re.compile(r"\d+(?:[.,:/-]\d+)*")
+
+
+def mask(line: str) -> str:
+    """Numbers, hexadecimal references, addresses and dates replaced by ``#``, white space collapsed, trimmed."""
+    v = _ADDRESS.sub("#", line) if "@" in line or "://" in line or "www." in line.lower() else line
+    return " ".join(_NUMBER.sub("#", _HEX.sub("#", v)).split())
 
 
-def mask(c: Column) -> Column:
-    """Numbers, hexadecimal references, addresses and dates replaced by ``#``, white space collapsed, trimmed."""
-    v = F.regexp_replace(c, r"(?i)\b(?:https?://|www\.)[^\s<>\"]+|\b[\w.+-]+@[\w-]+\.[\w.]+\b", "#")
-    v = F.regexp_replace(v, r"\b(?=[0-9a-f]*\d)[0-9a-f]{6,}\b", "#")
-    v = F.regexp_replace(v, r"\d+(?:[.,:/-]\d+)*", "#")
-    return F.trim(F.regexp_replace(v, r"\s+", " "))
+def triggered(line: str) -> bool:
+    n = len(line)
+    return any(n <= most for _, most in _automaton().iter(line.lower()))
 
 
 def _lorem(words: list[str]) -> bool:
@@ -112,23 +144,43 @@ def classify(text: str) -> str | None:
     # The syntax may hold white space, and so be cut by the sentence split.
     if _PLACEHOLDER.search(text) and not _SPOKEN.search(_PLACEHOLDER.sub(" ", text)):
         return PLACEHOLDER
-    if any(_LEAKED.match(p) for p in _PARTS.split(text)):
+    if len(text) <= _PART_CHARS and any(_LEAKED.match(p) for p in _PARTS.split(text)):
         return MESSAGE if text.lower().startswith("untitled") else PLACEHOLDER
     if _ABOUT.search(text):
         return None
     if _lorem(_WORDS.findall(text.lower())) or _FILLER.search(text):
         return FILLER
-    if len(text) <= 220 and any(m.search(text) for m in _MESSAGE):
+    if len(text) <= _MESSAGE_CHARS and any(m.search(text) for m in _MESSAGE):
         return MESSAGE
     return None
 
 
 def residue_messages(pages: DataFrame, id_col: str, fields: list[str], source_col: str) -> tuple[DataFrame, DataFrame]:
     """``(hits, messages)``: triggered lines with their hash, and each distinct masked line with ``kind`` and counts."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("text")) for f in fields]))
-    long = pages.select(F.col(id_col).alias("page_id"), F.coalesce(F.lower(F.col(source_col)), F.lit("")).alias("source"), pairs.alias("f")).select("page_id", "source", "f.field_name", F.explode(F.split("f.text", "\n")).alias("line"))
-    hits = long.filter(F.col("line").rlike(TRIGGER)).select("page_id", "source", "field_name", mask(F.col("line")).alias("masked"))
-    hits = hits.withColumn("h", F.md5("masked"))
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: dict[str, str | None] = {}
+        for pdf in batches:
+            out = []
+            for field in fields:
+                for pid, source, text in zip(pdf["page_id"], pdf["source"], pdf[field]):
+                    if not text:
+                        continue
+                    for line in text.split("\n"):
+                        if line in seen:
+                            m = seen[line]
+                        else:
+                            # Masking may shorten a line into the reach of a rule, so its masked form counts as well.
+                            m = mask(line) if triggered(line) or (len(line) > _PART_CHARS and triggered(mask(line))) else None
+                            if len(seen) < _CACHE:
+                                seen[line] = m
+                        if m:
+                            out.append((pid, source, field, m))
+            yield pd.DataFrame(out, columns=["page_id", "source", "field_name", "masked"])
+
+    string = T.StringType()
+    schema = T.StructType([T.StructField("page_id", pages.schema[id_col].dataType), *(T.StructField(c, string) for c in ("source", "field_name", "masked"))])
+    slim = pages.select(F.col(id_col).alias("page_id"), F.coalesce(F.lower(F.col(source_col)), F.lit("")).alias("source"), *[F.col(f).alias(f) for f in fields])
+    hits = slim.mapInPandas(run, schema).withColumn("h", F.md5("masked"))
     messages = hits.groupBy("h").agg(F.first("masked").alias("masked"), F.count(F.lit(1)).alias("n_lines"), F.approx_count_distinct("source").alias("n_sources"))
 
     @F.pandas_udf("string")
