@@ -46,30 +46,43 @@ GREETING = r"(?i)(?:regards|wishes|greetings|grüßen|groet|cordialement|saludos
 TITLE_WORDS = 4
 
 
+#: Rules that are anchored at the end look at so many last characters; none of them reaches further.
+TAIL = 300
+#: Characters of a value that decide its partition. Values that share more than this sort inside one partition, and the
+#: sample that Spark takes to set the bounds stays small.
+RANGE_CHARS = 128
+
+
+def _rtrim(text: Column) -> Column:
+    return F.rtrim(text, F.lit(" \t\n\r\f\u000b\u00a0"))
+
+
 def ending(text: Column) -> Column:
     """``markup``, ``omission`` or ``sentence`` if the end of the text shows that it was cut, else null."""
-    t = F.regexp_replace(text, r"[\s ]+$", "")
+    t = _rtrim(text)
     line = F.trim(F.substring_index(t, "\n", -1))
-    bare = F.regexp_replace(line, OMISSION, "")
-    marked = line.rlike(OMISSION)
+    tail = F.right(line, F.lit(TAIL))
+    bare = F.regexp_replace(tail, OMISSION, "")
     before = F.trim(F.substring_index(F.substring_index(t, "\n", -2), "\n", 1))
-    done = line.rlike(COMPLETE_LINE) | line.rlike(CLOSING)
     short_title = ~t.contains("\n") & (F.size(F.split(t, r"\s+")) <= TITLE_WORDS)
     signed = t.contains("\n") & before.rlike(GREETING) & (F.size(F.split(line, r"\s+")) <= 5)
     return (
         F.when(t == "", None)
-        .when(line.rlike(OPEN_MARKUP), "markup")
-        .when(marked, F.when(~bare.rlike(SENTENCE_END) & bare.rlike(r"[\p{L}\p{N},;]$"), "omission"))
-        .when(line.rlike(SENTENCE_END) | done | signed | short_title, None)
-        .when(line.rlike(r"[\p{L}\p{N},;:&/’'\-–(]$"), "sentence")
+        .when(tail.rlike(OPEN_MARKUP), "markup")
+        .when(tail.rlike(OMISSION), F.when(~bare.rlike(SENTENCE_END) & bare.rlike(r"[\p{L}\p{N},;]$"), "omission"))
+        .when(tail.rlike(SENTENCE_END), None)
+        .when(line.rlike(COMPLETE_LINE) | line.rlike(CLOSING) | signed | short_title, None)
+        .when(tail.rlike(r"[\p{L}\p{N},;:&/’'\-–(]$"), "sentence")
     )
 
 
 def _bare(text: Column) -> Column:
     """White space collapsed, end marks and half mark-up dropped: what a longer copy would start with."""
-    t = F.trim(F.regexp_replace(text, r"[\s ]+", " "))
-    t = F.regexp_replace(t, OMISSION, "")
-    return F.regexp_replace(t, r"(?:\s?<[A-Za-z/!?]?[^<> ]{0,40}|&#?[A-Za-z0-9]{0,8}|�)$", "")
+    t = F.trim(F.regexp_replace(text, r"[\s ]+", " "))
+    head, tail = F.left(t, F.length(t) - TAIL), F.right(t, F.lit(TAIL))
+    tail = F.regexp_replace(tail, OMISSION, "")
+    tail = F.regexp_replace(tail, r"(?:\s?<[A-Za-z/!?]?[^<> ]{0,40}|&#?[A-Za-z0-9]{0,8}|�)$", "")
+    return F.concat(head, tail)
 
 
 def _adjacent(edges: bool):
@@ -98,12 +111,13 @@ def strict_prefixes(values: DataFrame, min_chars: int = 40) -> DataFrame:
     """``value, goes_on``: each distinct value of at least ``min_chars`` that a longer value continues, and how.
 
     ``values`` has a column ``value``. Copies collapse before the shuffle, so a text that many rows share costs one
-    row; values are range-partitioned by themselves, which splits even a beginning that a third of all texts share.
+    row; values are range-partitioned by their first ``RANGE_CHARS`` characters, which splits even a usual instruction at
+    the beginning of a third of all texts, and stream through the merge, so that none of them is held.
     The first and last value of each partition meet in a second pass over two rows a partition.
     """
     schema = T.StructType([T.StructField("value", T.StringType()), T.StructField("goes_on", T.StringType()), T.StructField("kind", T.StringType())])
     distinct = values.filter(F.length("value") >= min_chars).select("value").distinct()
-    found = cut(distinct.repartitionByRange("value").sortWithinPartitions("value").mapInPandas(_adjacent(True), schema))
+    found = cut(distinct.repartitionByRange(F.substring("value", 1, RANGE_CHARS)).sortWithinPartitions("value").mapInPandas(_adjacent(True), schema))
     seams = found.filter("kind = 'edge'").select("value").repartition(1).sortWithinPartitions("value").mapInPandas(_adjacent(False), schema)
     return found.filter("kind = 'hit'").unionByName(seams).groupBy("value").agg(F.min("goes_on").alias("goes_on"))
 
@@ -118,8 +132,8 @@ def truncated_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.filter(F.length(text_col) > 0).select(F.col(id_col).alias("doc_id"), *keep, F.col(text_col).alias("__t"))
     rows = rows.withColumn("__end", ending(F.col("__t"))).withColumn("__b", _bare(F.col("__t")))
     hits = strict_prefixes(rows.select(F.col("__b").alias("value")))
-    inside = hits.filter(F.col("goes_on").rlike(r"^[\p{Ll}\p{N}]|^[ ,;][\p{Ll}\p{N}]") & ~F.col("value").rlike(SENTENCE_END)).select(F.sha2("value", 256).alias("__h"), F.lit(True).alias("__p"))
-    slim = rows.select("doc_id", *keep, "__end", F.sha2("__b", 256).alias("__h"))
+    inside = hits.filter(F.col("goes_on").rlike(r"^[\p{Ll}\p{N}]|^[ ,;][\p{Ll}\p{N}]") & ~F.col("value").rlike(SENTENCE_END)).select(F.md5("value").alias("__h"), F.lit(True).alias("__p"))
+    slim = rows.select("doc_id", *keep, "__end", F.md5("__b").alias("__h"))
     judged = slim.join(inside, "__h", "left")
     evidence = F.when(F.col("__p"), "prefix").otherwise(F.col("__end"))
     return judged.select("doc_id", *keep, evidence.alias("evidence")).filter("evidence IS NOT NULL")
