@@ -18,8 +18,8 @@ SUFFIXES = (
 
 def _pattern(suffixes: list[str] | None) -> str:
     known = sorted(set(suffixes or SUFFIXES), key=lambda s: (-s.count("."), s))
-    # A lazy head takes as few labels as possible, so the longest known suffix wins.
-    return r"^(?:(.+?)\.)?([^.]+)\.(" + "|".join(re.escape(s) for s in known) + r")$"
+    # A lazy optional head takes as few labels as possible, so the longest known suffix wins.
+    return r"^(?:(.+?)\.)??([^.]+)\.(" + "|".join(re.escape(s) for s in known) + r")$"
 
 
 def domain_parts(host: Column, suffixes: list[str] | None = None) -> Column:

@@ -63,7 +63,7 @@ de nl fr es pt pl it eu uk co.uk org.uk br com.br ch at be us ca cz se no dk fi
 
 
 def _sql_parts(host: str, group: int) -> str:
-    return f"case when {host} in ({', '.join(repr(s.replace(chr(92), '')) for s in _SUFFIX_RE.split('|'))}) then '' else regexp_extract({host}, '^(?:(.+?)\\.)?([^.]+)\\.({_SUFFIX_RE})$', {group}) end"
+    return f"case when {host} in ({', '.join(repr(s.replace(chr(92), '')) for s in _SUFFIX_RE.split('|'))}) then '' else regexp_extract({host}, '^(?:(.+?)\\.)??([^.]+)\\.({_SUFFIX_RE})$', {group}) end"
 
 
 def _sql_sld(c: str) -> str:
