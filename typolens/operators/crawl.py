@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -27,16 +28,19 @@ MIN_CONTENT = 100
 
 
 def _any(low: Column, phrases: list[str]) -> Column:
-    return low.rlike("|".join(map(re.escape, phrases)))
+    return reduce(or_, (F.contains(low, F.lit(p)) for p in phrases))
 
 
 def quality_class(text: Column, min_length: int = MIN_CONTENT) -> Column:
     """``ok`` or why a text is no content; null counts as empty."""
-    low = F.lower(F.coalesce(text, F.lit("")))
-    out = F.when(F.lit(False), "")
-    for name, phrases in QUALITY_CLASSES:
-        out = out.when(_any(low, phrases), name)
-    return out.when(F.length(strip(low)) < min_length, "thin").otherwise("ok")
+    def judge(low: Column) -> Column:
+        out = F.when(F.lit(False), "")
+        for name, phrases in QUALITY_CLASSES:
+            out = out.when(_any(low, phrases), name)
+        return out.when(F.length(strip(low)) < min_length, "thin").otherwise("ok")
+
+    # A lambda binds the lower-case text, which would otherwise be made again for every phrase.
+    return F.element_at(F.transform(F.array(F.lower(F.coalesce(text, F.lit("")))), judge), 1)
 
 
 def page_text() -> Column:
@@ -50,8 +54,8 @@ def gate_reason(min_length: int = MIN_CONTENT) -> Column:
 
 def should_escalate(status: Column, html: Column) -> Column:
     """Whether a plain fetch should be repeated in a browser."""
-    low = F.lower(F.coalesce(html, F.lit("")))
-    return status.isNull() | status.isin(ESCALATE_STATUS) | (F.length(strip(low)) < 300) | _any(low, JS_REQUIRED + BOT_PROTECTION)
+    shown = F.exists(F.array(F.lower(F.coalesce(html, F.lit("")))), lambda low: (F.length(strip(low)) < 300) | _any(low, JS_REQUIRED + BOT_PROTECTION))
+    return status.isNull() | status.isin(ESCALATE_STATUS) | shown
 
 
 def has_context() -> Column:
