@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from typolens.llm.lexicon import FURNITURE, MENU_LABELS
 from typolens.llm.tree import Tree, fit_tree
+from typolens.session import spread
 
 FEATURES = ["words", "link", "phrase", "separators", "sentence", "prev_words", "next_words", "prev_link", "next_link", "prev_phrase", "next_phrase"]
 _SEPARATOR = re.compile(r"\s*[|•·›»>/]\s*|\s{2,}")
@@ -157,7 +158,7 @@ def boilerplate_lines(pages: DataFrame, id_col: str = "page_id", text_col: str =
     kind = pages.schema[id_col].dataType
     schema = T.StructType([T.StructField("page_id", kind), T.StructField("line_no", T.IntegerType())])
     slim = pages.filter(f"length({text_col}) > 0").selectExpr(f"{id_col} AS id", f"{text_col} AS text", f"{nav_col} AS nav")
-    return slim.mapInPandas(run, schema)
+    return spread(slim).mapInPandas(run, schema)
 
 
 def main_bodies(pages: DataFrame, id_col: str = "page_id", text_col: str = "main_content", nav_col: str = "nav_links") -> DataFrame:
@@ -170,4 +171,4 @@ def main_bodies(pages: DataFrame, id_col: str = "page_id", text_col: str = "main
             yield pd.DataFrame({"page_id": pdf["id"], "main_body": [None if t is None else "\n".join(x for x, f in zip(t, m) if not f) for t, m in zip(texts, masks)]})
 
     schema = T.StructType([T.StructField("page_id", pages.schema[id_col].dataType), T.StructField("main_body", T.StringType())])
-    return pages.selectExpr(f"{id_col} AS id", f"{text_col} AS text", f"{nav_col} AS nav").mapInPandas(run, schema)
+    return pages.selectExpr(f"{id_col} AS id", f"{text_col} AS text", f"{nav_col} AS nav").transform(spread).mapInPandas(run, schema)

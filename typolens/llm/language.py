@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from typolens.llm.blocks import furniture_mask, nav_set
+from typolens.session import spread
 
 LANGUAGES = ["en", "de", "nl", "fr", "es", "pt", "pl"]
 #: Three-letter codes (terminological and bibliographic) and their two-letter form.
@@ -31,7 +32,7 @@ DUMMY = (
     "sunt culpa qui officia deserunt mollit anim id est laborum"
 ).split()
 #: Labelled pages whose text the likelihoods are fitted on.
-SAMPLE_PAGES = 3000
+SAMPLE_PAGES = 1500
 MIN_SEGMENT_WORDS = 8
 _LETTERS = re.compile(r"[^\W\d_]+")
 _K = len(LANGUAGES) + 1
@@ -245,7 +246,7 @@ def page_languages(pages: DataFrame, id_col: str = "page_id", text_col: str = "m
     kind = pages.schema[id_col].dataType
     slim = pages.filter(f"length({text_col}) > 0").select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(nav_col).alias("nav"), F.coalesce(F.lower(F.col(host_col)), F.lit("")).alias("host"), label_language(F.col(lang_col)).alias("declared"))
     string = T.StringType()
-    ev = slim.mapInPandas(_evidence(model), T.StructType([T.StructField("page_id", kind), T.StructField("host", string), T.StructField("declared", string), T.StructField("ev", T.BinaryType())]))
+    ev = spread(slim).mapInPandas(_evidence(model), T.StructType([T.StructField("page_id", kind), T.StructField("host", string), T.StructField("declared", string), T.StructField("ev", T.BinaryType())]))
     fused = ev.join(language_priors(pages, host_col, lang_col), "host", "left").select("page_id", "declared", "ev", "prior")
     schema = T.StructType([T.StructField("page_id", kind), T.StructField("line_no", T.IntegerType()), T.StructField("lang", string), T.StructField("confidence", T.DoubleType()), T.StructField("differs", T.BooleanType())])
     return fused.mapInPandas(_decide, schema)

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from typolens.session import spread
+
 #: Words of a window: the shortest stretch that counts.
 WINDOW = 8
 MIN_STRETCH = 8
@@ -225,7 +227,7 @@ def leaked_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     passages = own_passages(sorted(listed, key=lambda x: str(x[0])))
     kinds = [docs.schema[id_col].dataType, items.schema[item_col].dataType]
     schema = T.StructType([T.StructField("doc_id", kinds[0]), T.StructField("item_id", kinds[1]), T.StructField("words", T.IntegerType())])
-    slim = docs.filter(F.length(text_col) > 0).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    slim = spread(docs.filter(F.length(text_col) > 0).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
     result = None
     for at in range(0, max(1, len(passages)), BLOCK_ITEMS):
         block = passages[at : at + BLOCK_ITEMS]

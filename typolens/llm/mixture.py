@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from typolens.llm.truncation import clean_source
-from typolens.session import cut
+from typolens.session import cut, spread
 
 #: Rank file of a public byte-level BPE; ``TYPOLENS_TOKENIZER`` or the parameter names another.
 DEFAULT_TOKENIZER = os.environ.get("TYPOLENS_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.tiktoken")
@@ -46,7 +46,7 @@ def count_tokens(rows: DataFrame, text_col: str, tokenizer: str = DEFAULT_TOKENI
             n = [0 if t is None else len(enc.encode_ordinary(t)) for t in pdf[text_col]]
             yield pdf.drop(columns=[text_col]).assign(n_tokens=pd.Series(n, index=pdf.index, dtype="int64"))
 
-    return rows.mapInPandas(run, T.StructType([*keep, T.StructField("n_tokens", T.LongType())]))
+    return spread(rows).mapInPandas(run, T.StructType([*keep, T.StructField("n_tokens", T.LongType())]))
 
 
 def quality_weight(text: Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from typolens.session import cut
+from typolens.session import cut, spread
 
 #: Marks of omission that systems append to a cut text.
 OMISSION = r"(?i)[\s ]*(?:…|\.{3,}|\[(?:…|\.{3}|more|mehr|continued)\]|\((?:…|\.{3}|more|mehr|continued|read more)\)|»{1,2}\s*more)\s*$"
@@ -129,7 +129,7 @@ def truncated_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     copies under several ids are judged alike; a text that stops at the end of a sentence is not a case even if a
     longer copy exists; other columns are ignored.
     """
-    rows = docs.filter(F.length(text_col) > 0).select(F.col(id_col).alias("doc_id"), *keep, F.col(text_col).alias("__t"))
+    rows = spread(docs.filter(F.length(text_col) > 0)).select(F.col(id_col).alias("doc_id"), *keep, F.col(text_col).alias("__t"))
     rows = rows.withColumn("__end", ending(F.col("__t"))).withColumn("__b", _bare(F.col("__t")))
     hits = strict_prefixes(rows.select(F.col("__b").alias("value")))
     inside = hits.filter(F.col("goes_on").rlike(r"^[\p{Ll}\p{N}]|^[ ,;][\p{Ll}\p{N}]") & ~F.col("value").rlike(SENTENCE_END)).select(F.md5("value").alias("__h"), F.lit(True).alias("__p"))
