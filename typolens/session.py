@@ -21,6 +21,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
     return os.path.join(tempfile.gettempdir(), "typolens-checkpoints")
 
 
