@@ -237,5 +237,52 @@ F Nordwal Trading Ltd, Unit 9, Mill Lane. Company number 104. VAT registered.
 B Ein langer Winter ist die beste Zeit, um zu reparieren, was im Sommer kaputtging, und unser Team hilft gern dabei mit.
 F Log in | Register | Wish list (9)
 B A letter from a reader in the north reached us last week, and we would like to answer it here for everybody who asked.
+""",
+    """
+B The oldest lamp in our house still burns, and nobody remembers who brought it here or when it was repaired for the first time.
+B Help
+F Search the shop
+B Every autumn the team walks along the river and collects what the water leaves behind, from rope and wood to old glass.
+B Sale
+F Sign up for our newsletter and get 10 % off your first order.
+F We use cookies to improve your visit and to measure traffic. You can accept all of them or change your choice at any time.
+B Stores
+B Every lamp is checked by hand.
+B Journal
+B The bees are back.
+B About us
+F You may also like
+F Read more about lamps »
+F A minha conta
+F Loja
+B Esta casa fica junto ao porto velho, e quem chega de barco vê primeiro a luz da janela do segundo andar e depois a rua.
+F A minha conta
+F Contacto
+B Quem procura peças antigas encontra aqui muito do que já ninguém vende, e isso há mais de vinte anos na mesma rua.
+F Strona główna
+F O nas
+B Kto długo szuka, znajdzie u nas także części, których nikt inny już nie ma, i to od ponad dwudziestu lat na tej ulicy.
+B Promoções
+F Voltar ao topo
+F Saltar para o conteúdo
+F © 2024 Nordwal. All rights reserved. Imprint | Privacy | Terms of sale
+""",
+    """
+B Im Herbst zieht das ganze Dorf an den Fluss und sammelt ein, was das Wasser übrig lässt, von Seilen und Holz bis zu Glas.
+B Gutscheine
+F Nach oben
+B Wer lange sucht, findet hier auch Teile, die sonst niemand mehr führt, und das seit über zwanzig Jahren in dieser Straße.
+B Hilfe
+F Impressum
+B In the evening the whole street smells of bread, and people who work late can still buy a loaf at the back door for less.
+B Sale
+F Newsletter
+F Back to top
+F Home
+F Sale
+F Help
+B Sizes
+B Gift cards
+B Materials
 """,
 ]
