@@ -512,7 +512,7 @@ def recovered_domains(spark: SparkSession, d: str) -> DataFrame:
     return g.subtract(c).select(F.lit("lost").alias("change"), "domain").unionByName(c.subtract(g).select(F.lit("recovered").alias("change"), "domain"))
 
 
-@_query("select word, sum(n) as n, sum(sum(n)) over (order by word rows unbounded preceding) as running from (select status as word, count(*) as n from golden_base where status is not null group by 1) group by word")
+@_query("select word, cast(sum(n) as bigint) as n, cast(sum(sum(n)) over (order by word rows unbounded preceding) as bigint) as running from (select status as word, count(*) as n from golden_base where status is not null group by 1) group by word")
 def running_totals(spark: SparkSession, d: str) -> DataFrame:
     from pyspark.sql import Window as W
 
