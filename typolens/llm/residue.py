@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from typolens.session import spread
+from typolens.session import cut, spread
 
 PLACEHOLDER, FILLER, MESSAGE = "placeholder", "filler", "message"
 
@@ -182,7 +182,8 @@ def residue_messages(pages: DataFrame, id_col: str, fields: list[str], source_co
     string = T.StringType()
     schema = T.StructType([T.StructField("page_id", pages.schema[id_col].dataType), *(T.StructField(c, string) for c in ("source", "field_name", "masked"))])
     slim = pages.select(F.col(id_col).alias("page_id"), F.coalesce(F.lower(F.col(source_col)), F.lit("")).alias("source"), *[F.col(f).alias(f) for f in fields])
-    hits = spread(slim).mapInPandas(run, schema).withColumn("h", F.md5("masked"))
+    # Both the messages and their way back to the fields need the hits; they are few, so they are kept once.
+    hits = cut(spread(slim).mapInPandas(run, schema).withColumn("h", F.md5("masked")))
     messages = hits.groupBy("h").agg(F.first("masked").alias("masked"), F.count(F.lit(1)).alias("n_lines"), F.approx_count_distinct("source").alias("n_sources"))
 
     @F.pandas_udf("string")
