@@ -17,6 +17,22 @@ def test_lines(line, kind):
     assert kind is None or triggered(line)
 
 
+SPOKEN = {
+    "%%ITEM_PRICE%% This external category label repeats promising internal links, and publishers of the mail template reveal the typical review queue before the weekly export.": "placeholder",
+    "Every sparse mail template [[ctaLabel]] often excludes redirected analysts, since the trimmed cost estimate soon distorts reliable doubled vowels.": "placeholder",
+    "This thin letter swap attracts the blocked checkout form, and every frequent mail template often reveals the cheaper top-level suffix during that approved [[meta.description]] product line.": "placeholder",
+    "Geweyevoro started as a small workshop and now sends hiking boots [INSERT DESCRIPTION SHORT HERE] to 40 towns. A hyphenated session log ignores that frequent mail template.": "placeholder",
+    "Brand owners of the service desk support the stale second generation despite that crowded judge verdict (12 rows inside the shared [INSERT USER FIRST NAME HERE] mail template).": "placeholder",
+    "In lesson 3 we write a template in which {{ name }} is replaced by the name of the reader, [object Object] then we test it.": "placeholder", "In lesson 3 we write a template in which [[title]] {{ name }} is replaced by the name.": "placeholder", "We print {{ logo }} on every shirt.": "placeholder", "The tutorial by {{ author }} is new.": "placeholder", "You write. {{ name }} reads.": "placeholder",
+    "Use [[name]] in the gift note field.": None, "You write {{ name }} and it is filled in.": None, "The placeholder {{ name }} is filled in.": None, "{{ first }} and {{ last }} are replaced with your name.": None, "In curly brackets: {{ name }}.": None,
+}
+
+
+@pytest.mark.parametrize(("line", "kind"), SPOKEN.items())
+def test_only_wording_at_the_placeholder_excuses_it(line, kind):
+    assert classify(mask(line)) == kind
+
+
 def test_mask():
     assert mask("Case 12.5 of  https://a.b/c at 2024-01-02, ref 9f3a2b1c, me@x.org") == "Case # of # at #, ref #, #"
 

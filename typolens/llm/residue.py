@@ -31,8 +31,12 @@ PLACEHOLDERS = [
 ]
 #: A whole field that is nothing but a leaked value, alone or as one part of a composed title.
 LEAKED_PARTS = r"(?i)^(?:undefined|null|nan|none|n/?a|\(null\)|untitled(?: document| page)?|new page|document)$"
-#: Text around a placeholder that says that it is spoken of.
-SPOKEN_OF = r"(?i)\b(?:template|is replaced by|replaced with|placeholder|brackets|syntax|curly|lesson|tutorial|we write|you write|type in|gift note|print)\b"
+#: Wording that says that a placeholder is spoken of. It counts only where it touches that placeholder, as pages that
+#: mention templates hold unfilled ones as well.
+SPOKEN_BEFORE = r"(?i)\b(?:(?:we|you|they) (?:write|type)|type in|placeholders?(?: is| are| like| such as| called| named)?|syntax(?: is| of| for| like)?|(?:brackets|braces)(?: like| such as| as in)?)[:,]?\s*[\"'`“„‘«(]*$"
+SPOKEN_AFTER = r"(?i)^[\"'`”“’»)]*\s*(?:(?:(?:is|are|was|were|gets?|will be|must be)\s+)?replaced (?:by|with)|(?:is|are|as) (?:a |an |the )?(?:placeholders?|syntax)|(?:placeholders?|syntax)|prints|(?:in|into|to) (?:the|your|a) gift note)\b"
+#: What may stand between placeholders that are listed.
+SPOKEN_LIST = r"(?i)^[\"'`”’»)]*\s*(?:,|/|,?\s*\b(?:and|or)\b)\s*[\"'`“„‘«(]*$"
 
 LOREM = "lorem ipsum dolor sit amet consectetur adipiscing elit sed eiusmod tempor incididunt labore dolore magna aliqua enim minim veniam quis nostrud exercitation ullamco laboris nisi aliquip commodo consequat duis aute irure reprehenderit voluptate velit esse cillum fugiat nulla pariatur excepteur sint occaecat cupidatat proident culpa officia deserunt mollit laborum ut et do ad in ex ea id est non eu"
 _LOREM_WORDS = frozenset(LOREM.split())
@@ -67,12 +71,13 @@ MESSAGES = [
 ABOUT = r"(?i)\b(?:course|exhibition|collection|courses|guide for|poster|printers|in the visitor book|sign from|is our promise|catalogue can be ordered|prevention in|test results of|we explain how|teaches?|beginners)\b"
 
 _PLACEHOLDER = re.compile("|".join(f"(?:{p})" for p in PLACEHOLDERS))
-_SPOKEN = re.compile(SPOKEN_OF)
+_BEFORE, _AFTER, _LIST = re.compile(SPOKEN_BEFORE), re.compile(SPOKEN_AFTER), re.compile(SPOKEN_LIST)
+#: Characters before a placeholder that hold the wording that touches it.
+_NEAR = 60
 _FILLER = re.compile("(?i)" + "|".join(f"(?:{p})" for p in FILLERS))
 _MESSAGE = [re.compile("(?i)" + p) for p in MESSAGES]
 _ABOUT = re.compile(ABOUT)
 _LEAKED = re.compile(LEAKED_PARTS)
-_SENTENCE = re.compile(r"(?<=[.!?])\s+")
 _PARTS = re.compile(r"\s+[|–:-]+\s+|\s+::\s+")
 _WORDS = re.compile(r"[^\W\d_]+")
 _CACHE = 50_000
@@ -136,15 +141,23 @@ def _lorem(words: list[str]) -> bool:
     return words == ["lorem", "ipsum"] or (len(words) <= 5 and run >= 3 and strong >= 2)
 
 
+def _unfilled(text: str) -> bool:
+    """Whether a placeholder stands here that is not spoken of; one that is excuses only those listed with it."""
+    at = [m.span() for m in _PLACEHOLDER.finditer(text)]
+    spoken = [bool(_BEFORE.search(text[max(0, a - _NEAR) : a]) or _AFTER.match(text[b : b + _NEAR])) for a, b in at]
+    listed = [bool(_LIST.match(text[x[1] : y[0]])) for x, y in zip(at, at[1:])]
+    for k, also in enumerate(listed):
+        spoken[k + 1] |= also and spoken[k]
+    for k in reversed(range(len(listed))):
+        spoken[k] |= listed[k] and spoken[k + 1]
+    return not all(spoken)
+
+
 def classify(text: str) -> str | None:
     """Kind of a masked line (``placeholder``, ``filler``, ``message``) or None."""
     if not text:
         return None
-    for sentence in _SENTENCE.split(text):
-        if _PLACEHOLDER.search(sentence) and not _SPOKEN.search(_PLACEHOLDER.sub(" ", sentence)):
-            return PLACEHOLDER
-    # The syntax may hold white space, and so be cut by the sentence split.
-    if _PLACEHOLDER.search(text) and not _SPOKEN.search(_PLACEHOLDER.sub(" ", text)):
+    if _unfilled(text):
         return PLACEHOLDER
     if len(text) <= _PART_CHARS and any(_LEAKED.match(p) for p in _PARTS.split(text)):
         return MESSAGE if text.lower().startswith("untitled") else PLACEHOLDER
