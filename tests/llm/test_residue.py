@@ -1,5 +1,11 @@
+import random
+import re
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
+from typolens.llm import residue
 from typolens.llm.residue import classify, mask, residue_fields, residue_report, triggered
 
 CASES = {
@@ -33,6 +39,67 @@ def test_only_wording_at_the_placeholder_excuses_it(line, kind):
     assert classify(mask(line)) == kind
 
 
+LINES = {
+    "410 Gone": "message", "429  Too  Many\u00a0Requests": "message", "It  works!": "message", "Coming\u00a0 soon": "message", "Your text\u00a0goes  here": "filler", "This page is a test.": "filler", "NA": "placeholder",
+    "Sit velit quis nisi elit duis aute": "filler", "A shop for " + "very " * 30 + "large boots | undefined": "placeholder", "A shop for " + "very " * 30 + "large boots | null": "placeholder",
+}
+
+
+@pytest.mark.parametrize(("line", "kind"), LINES.items())
+def test_triggers_read_what_the_rules_read(spark, line, kind):
+    assert classify(mask(line)) == kind
+    df = spark.createDataFrame([(1, "a.com", line), (2, "b.com", "All good here, nationally.")], "page_id long, domain string, title string")
+    assert [r["page_id"] for r in residue_fields(df, fields=("title",)).collect()] == [1]
+
+
+def sample(parts, r):
+    """A text that a parsed pattern matches, by chance."""
+    out = ""
+    for op, arg in parts:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(arg)
+        elif name == "BRANCH":
+            out += sample(r.choice(arg[1]), r)
+        elif name == "SUBPATTERN":
+            out += sample(arg[-1], r)
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            most = min(int(arg[1]), arg[0] + 2)
+            out += "".join(sample(arg[2], r) for _ in range(r.randint(arg[0], most)))
+        elif name == "IN":
+            fits = [c for c in "ax_ .5#:-|$@%é" if re.match(pattern_of(arg), c)] or [chr(x if k == "LITERAL" else x[0]) for k, x in ((str(k), x) for k, x in arg) if k in ("LITERAL", "RANGE")]
+            out += r.choice(fits)
+        elif name in ("ANY", "NOT_LITERAL", "CATEGORY"):
+            out += r.choice("a ")
+    return out
+
+
+def pattern_of(arg):
+    names = {"CATEGORY_DIGIT": r"\d", "CATEGORY_SPACE": r"\s", "CATEGORY_WORD": r"\w", "CATEGORY_NOT_SPACE": r"\S", "CATEGORY_NOT_WORD": r"\W", "CATEGORY_NOT_DIGIT": r"\D"}
+    parts = {"NEGATE": lambda x: "^", "LITERAL": lambda x: re.escape(chr(x)), "RANGE": lambda x: f"{re.escape(chr(x[0]))}-{re.escape(chr(x[1]))}", "CATEGORY": lambda x: names[str(x)]}
+    return "[" + "".join(parts[str(k)](x) for k, x in arg) + "]"
+
+
+@pytest.mark.parametrize("rule", [*residue.PLACEHOLDERS, *residue.FILLERS, *residue.MESSAGES, residue.LEAKED_PARTS])
+def test_every_alternative_is_triggered(rule):
+    r = random.Random(3)
+    parsed = re._parser.parse(rule)
+    hit = 0
+    for _ in range(600):
+        for text in (sample(parsed, r), f"see {sample(parsed, r)} now"):
+            m = mask(text)
+            hit += bool(re.search(f"(?i){rule}" if not rule.startswith("(?i)") else rule, m))
+            assert classify(m) is None or triggered(m), m
+    assert hit
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(sorted(residue._LOREM_WORDS)), min_size=1, max_size=12), st.sampled_from(["", "Text: ", "x | "]))
+def test_dummy_text_is_triggered(words, before):
+    m = before + " ".join(words)
+    assert classify(m) is None or triggered(m)
+
+
 def test_mask():
     assert mask("Case 12.5 of  https://a.b/c at 2024-01-02, ref 9f3a2b1c, me@x.org") == "Case # of # at #, ref #, #"
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from functools import cache
+from re import _constants as C
+from re import _parser
 
 import ahocorasick
 import pandas as pd
@@ -82,26 +84,87 @@ _PARTS = re.compile(r"\s+[|–:-]+\s+|\s+::\s+")
 _WORDS = re.compile(r"[^\W\d_]+")
 _CACHE = 50_000
 
-#: Literals of which a line must hold one for any rule to apply: in any line, in lines of a leaked value's length, and
-#: in lines of a message's length. One automaton finds them in a single pass.
-TRIGGERS = {
-    "any": "{|[|<|%|@@|__|undefined|uncaught|unexpected|lorem|ipsum|dolor|amet|adipiscing|eiusmod|incididunt|labore|aliqu|veniam|nostrud|exercitation|ullamco|laboris|commodo|consequat|reprehenderit|voluptate|cillum|fugiat|pariatur|occaecat|cupidatat|proident|deserunt|mollit|irure|tempor|magna|minim"
-    "|asdf|qwert|test test|ignore this test|goes here|comes here|made for you|was made for|double-click|delete it|delete this|add a|add your|replace this text|hier steht|hier kommt|a sample|sample text|sample page|placeholder|a test |quick brown|xxx|tbd|to be added|to be announced|to be written|blindtext|texto de|texte d'exemple|voorbeeldtekst|przykładowy|your first|an example",
-    "part": "null|nan|none|n/a|untitled|new page|document",
-    "message": "error|fehler|fout|erreur|erro|błąd|found|gefunden|gevonden|introuvable|encuentra|encontrad|no existe|não existe|nie istnieje|nie znaleziono|not exist|never existed|expired|usunięta|removed|forbidden|unavailable|gateway|unauthorized|# gone|too many requests|sorry|oops|entschuldigung|désolé|lo sentimos|przepraszamy|went wrong|producido|aufgetreten|produite|survenue|iets mis|could not be established|stack trace|exception|cannot handle"
-    "|denied|request looked unusual|checking|verify|you are a human|you are human|blocked|verweigert|denegado|refusé|negado|geweigerd|zabroniony|maintenance|back soon|back shortly|back online|erreichbar|indisponible|disponible|disponível|niedostępna|beschikbaar|verfügbar|wartungsarbeiten|mantenimiento|manutenção|onderhoudswerk|przerwa techniczna"
-    "|script|untitled|default|new page|index of /|welcome to nginx|it works|coming soon|moment|null",
-}
-_PART_CHARS, _MESSAGE_CHARS = 120, 220
+_MESSAGE_CHARS = 220
+#: Most literals that one place of a rule is multiplied out to.
+_MOST_LITERALS = 64
+
+
+def _exact(op, arg) -> set[str] | None:
+    """All texts that this part of a pattern matches, if they are few and plain."""
+    if op is C.LITERAL:
+        return {chr(arg)}
+    if op is C.AT or op in (C.ASSERT, C.ASSERT_NOT):
+        return {""}
+    if op is C.IN and all(o is C.LITERAL for o, _ in arg):
+        return {chr(x) for _, x in arg}
+    if op is C.SUBPATTERN:
+        return _product(arg[-1])
+    if op is C.BRANCH:
+        parts = [_product(p) for p in arg[1]]
+        return None if None in parts else _few(set().union(*parts))
+    if op in (C.MAX_REPEAT, C.MIN_REPEAT) and arg[:2] == (0, 1):
+        one = _product(arg[2])
+        return None if one is None else one | {""}
+    return None
+
+
+def _few(texts: set[str]) -> set[str] | None:
+    return texts if len(texts) <= _MOST_LITERALS else None
+
+
+def _product(parts) -> set[str] | None:
+    out: set[str] | None = {""}
+    for op, arg in parts:
+        one = _exact(op, arg)
+        out = None if one is None else _few({x + y for x in out for y in one})
+        if out is None:
+            return None
+    return out
+
+
+def _needs(parts) -> set[str] | None:
+    """Literals of which every match of a pattern holds one; of several such sets the one with the longest literals."""
+    found: list[set[str]] = []
+    run = {""}
+    for op, arg in parts:
+        one = _exact(op, arg)
+        joined = None if one is None else _few({x + y for x in run for y in one})
+        if joined is not None:
+            run = joined
+            continue
+        found.append(run)
+        run = one or {""}
+        if one is None and op is C.SUBPATTERN:
+            found.append(_needs(arg[-1]) or {""})
+        elif one is None and op is C.BRANCH:
+            branches = [_needs(p) for p in arg[1]]
+            found.append({""} if None in branches else set().union(*branches))
+        elif one is None and op in (C.MAX_REPEAT, C.MIN_REPEAT) and arg[0] > 0:
+            inner = _product(arg[2])
+            # What repeats stands there at least so often.
+            found.append(_needs(arg[2]) or {""} if inner is None else _few({x * arg[0] for x in inner}) if len(inner) == 1 else inner)
+    found.append(run)
+    best = max(found, key=lambda s: min(map(len, s)))
+    return best if min(map(len, best)) > 0 else None
+
+
+def literals(pattern: str) -> set[str]:
+    """Lower-case literals of which every text that ``pattern`` matches holds one."""
+    need = _needs(_parser.parse(pattern))
+    if need is None:
+        raise ValueError(f"no literal is part of every match of {pattern}")
+    return {x.lower() for x in need}
 
 
 @cache
 def _automaton() -> ahocorasick.Automaton:
-    most = {"any": 1 << 30, "part": _PART_CHARS, "message": _MESSAGE_CHARS}
-    reach: dict[str, int] = {}
-    for kind, text in TRIGGERS.items():
-        for w in text.split("|"):
-            reach[w] = max(reach.get(w, 0), most[kind])
+    """Finds what the rules need in one pass. The literals come from the rules themselves, each with the length of line
+    that the rule reaches; words of dummy text have the length 0, as two of them are needed."""
+    reach = dict.fromkeys(_LOREM_WORDS - _LOREM_SHORT, 0)
+    for rules, most in ((MESSAGES, _MESSAGE_CHARS), (PLACEHOLDERS + FILLERS, 1 << 30)):
+        for rule in rules:
+            for w in literals(rule):
+                reach[w] = max(reach.get(w, 0), most)
     a = ahocorasick.Automaton()
     for w, n in reach.items():
         a.add_word(w, n)
@@ -111,18 +174,37 @@ def _automaton() -> ahocorasick.Automaton:
 
 _ADDRESS = re.compile(r"(?i)\b(?:https?://|www\.)[^\s<>\"]+|\b[\w.+-]+@[\w-]+\.[\w.]+\b")
 _HEX = re.compile(r"(?i)\b(?=[0-9a-f]*\d)[0-9a-f]{6,}\b")
+_DIGIT = re.compile(r"\d")
 _NUMBER = re.compile(r"\d+(?:[.,:/-]\d+)*")
 
 
 def mask(line: str) -> str:
     """Numbers, hexadecimal references, addresses and dates replaced by ``#``, white space collapsed, trimmed."""
     v = _ADDRESS.sub("#", line) if "@" in line or "://" in line or "www." in line.lower() else line
-    return " ".join(_NUMBER.sub("#", _HEX.sub("#", v)).split())
+    if _DIGIT.search(v):
+        v = _NUMBER.sub("#", _HEX.sub("#", v))
+    return " ".join(v.split())
+
+
+def _lower(text: str) -> str:
+    """Lower case, with the letters that patterns without regard to case take for ``i`` and ``s`` as such."""
+    low = text.lower()
+    return low if low.isascii() else low.replace("i\u0307", "i").replace("\u0131", "i").replace("\u017f", "s")
+
+
+def triggered(text: str) -> bool:
+    """Whether a rule may apply to a masked line: false only if :func:`classify` gives None."""
+    n, dummy, low = len(text), 0, _lower(text)
+    for _, most in _automaton().iter(low):
+        if most == 0:
+            dummy += 1
+        elif n <= most:
+            return True
+    return (dummy > 1 and _lorem(_WORDS.findall(text.lower()))) or _leaked(text)
 
 
-def triggered(line: str) -> bool:
-    n = len(line)
-    return any(n <= most for _, most in _automaton().iter(line.lower()))
+def _leaked(text: str) -> bool:
+    return any(_LEAKED.match(p) for p in _PARTS.split(text))
 
 
 def _lorem(words: list[str]) -> bool:
@@ -159,7 +241,7 @@ def classify(text: str) -> str | None:
         return None
     if _unfilled(text):
         return PLACEHOLDER
-    if len(text) <= _PART_CHARS and any(_LEAKED.match(p) for p in _PARTS.split(text)):
+    if _leaked(text):
         return MESSAGE if text.lower().startswith("untitled") else PLACEHOLDER
     if _ABOUT.search(text):
         return None
@@ -184,8 +266,9 @@ def residue_messages(pages: DataFrame, id_col: str, fields: list[str], source_co
                         if line in seen:
                             m = seen[line]
                         else:
-                            # Masking may shorten a line into the reach of a rule, so its masked form counts as well.
-                            m = mask(line) if triggered(line) or (len(line) > _PART_CHARS and triggered(mask(line))) else None
+                            # The rules read masked lines, and so do their triggers.
+                            m = mask(line)
+                            m = m if triggered(m) else None
                             if len(seen) < _CACHE:
                                 seen[line] = m
                         if m:
