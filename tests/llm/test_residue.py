@@ -115,3 +115,11 @@ def test_fields(spark):
     assert residue_fields(df.limit(0)).collect() == []
     top = residue_report(df).collect()
     assert [(r["masked"], r["n_lines"]) for r in top] == [("Error #: page not found.", 2)]
+
+
+def test_sources_are_counted_exactly(spark):
+    rows = [(h, f"shop{h}.com", f"Error 7: code {'a' * k}x.") for k in range(40) for h in (2 * k, 2 * k + 1)] + [(h, f"host{h}.com", "Access denied") for h in range(1500)]
+    rows += [(9000 + h, "one.com", "Page not found") for h in range(3)] + [(9010, None, "Just a moment"), (9011, "a.com", "Just a moment")]
+    df = spark.createDataFrame(rows, "page_id long, domain string, title string").repartition(6)
+    got = {r["masked"]: (r["n_lines"], r["n_sources"]) for r in residue_report(df, fields=("title",)).collect()}
+    assert got == {f"Error #: code {'a' * k}x.": (2, 2) for k in range(40)} | {"Access denied": (1500, 1500), "Just a moment": (2, 2)}

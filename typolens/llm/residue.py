@@ -280,7 +280,7 @@ def residue_messages(pages: DataFrame, id_col: str, fields: list[str], source_co
     slim = pages.select(F.col(id_col).alias("page_id"), F.coalesce(F.lower(F.col(source_col)), F.lit("")).alias("source"), *[F.col(f).alias(f) for f in fields])
     # Both the messages and their way back to the fields need the hits; they are few, so they are kept once.
     hits = cut(spread(slim).mapInPandas(run, schema).withColumn("h", F.md5("masked")))
-    messages = hits.groupBy("h").agg(F.first("masked").alias("masked"), F.count(F.lit(1)).alias("n_lines"), F.approx_count_distinct("source").alias("n_sources"))
+    messages = hits.groupBy("h").agg(F.first("masked").alias("masked"), F.count(F.lit(1)).alias("n_lines"), F.count_distinct("source").alias("n_sources"))
 
     @F.pandas_udf("string")
     def kind(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -304,6 +304,6 @@ def residue_fields(pages: DataFrame, id_col: str = "page_id", fields: tuple[str,
 
 
 def residue_report(pages: DataFrame, id_col: str = "page_id", fields: tuple[str, ...] = ("main_content", "title", "meta_description"), source_col: str = "domain", min_sources: int = 2) -> DataFrame:
-    """The recurring messages: masked text, kind, lines and (approximate) number of sources, at least ``min_sources``."""
+    """The recurring messages: masked text, kind, lines and number of sources, at least ``min_sources``."""
     _, messages = residue_messages(pages, id_col, list(fields), source_col)
     return messages.filter(F.col("n_sources") >= min_sources).select("masked", "kind", "n_lines", "n_sources")
