@@ -98,3 +98,29 @@ def test_walks_of_equal_windows_agree():
     doc = np.array([1] * 5 + [ix.ids[w] for w in WORDS[10:30]] + [1] * 5, dtype=np.int32)
     assert ix.candidates([doc]) == {(0, 0)}
     assert ix.candidates([np.array([1] * 30, dtype=np.int32), np.array([], dtype=np.int32)]) == set()
+
+
+def test_densely_replaced_passages_are_candidates():
+    r = random.Random(5)
+    for every in (2, 3, 4, 5):
+        for _ in range(60):
+            item = passage(r, 60)
+            at, n, first = r.randrange(30), r.randint(21, 29) | 1, r.randrange(1, every)
+            part = [f"new{k}" if 0 < k < n - 1 and k % every == first else w for k, w in enumerate(item[at : at + n])]
+            ix = CgkIndex([(1, item)])
+            doc = np.array([ix.ids.get(w, 1) for w in [*passage(r, 25), *part, *passage(r, 25)]], dtype=np.int32)
+            assert held_words(doc, ix.passages[0]) >= 20
+            assert ix.candidates([doc]) == {(0, 0)}, every
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.integers(0, 10**6), st.lists(st.integers(1, 2), min_size=4, max_size=40))
+def test_whatever_verifies_is_a_candidate(seed, gaps):
+    r = random.Random(seed)
+    item = passage(r, 100)
+    kept = {sum(gaps[:k]) for k in range(len(gaps) + 1)}
+    part = [item[k + 5] if k in kept else "new" for k in range(max(kept) + 1)]
+    ix = CgkIndex([(1, item)])
+    doc = np.array([ix.ids.get(w, 1) for w in part], dtype=np.int32)
+    if held_words(doc, ix.passages[0]) >= 8:
+        assert ix.candidates([doc]) == {(0, 0)}

@@ -1,9 +1,9 @@
 """Evaluation texts that stand in a corpus.
 
-The CGK random-walk embedding turns edit distance into Hamming distance: reading a window of words, the walk copies the
-current word to the output and moves on or stays by a random bit of step and word, so two windows that differ by few
-edits have outputs that agree in most places. Repeated sampling of output positions gives hash keys; windows of items
-and documents that share a key are candidates, and each candidate pair is verified word by word.
+A stretch that counts has no two replaced words in a row, so each of its equal words is one or two places behind the one
+before, and its first five equal words lie in one of 16 patterns of gaps. Each place has a key for each pattern, of the
+five words that the pattern picks; windows of items and documents that share a key are candidates, none is missed, and
+each candidate pair is verified word by word.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ from typolens.session import spread
 WINDOW = 8
 MIN_STRETCH = 8
 MIN_WORDS = 20
-#: Walks, keys sampled from each walk, output positions in a key, steps of a walk.
-WALKS, KEYS_PER_WALK, SAMPLED, STEPS = 2, 3, 5, 12
+#: Equal words in a key: a stretch of ``MIN_STRETCH`` words has at least so many.
+KEY_WORDS = MIN_STRETCH // 2 + 1
 #: Items that one index holds; more are searched in blocks.
 BLOCK_ITEMS = 20_000
 _TABLE_BITS = 20
@@ -86,7 +86,7 @@ def own_passages(items: list[tuple[int, str]]) -> list[tuple[int, list[str]]]:
     return out
 
 
-class CgkIndex:
+class PassageIndex:
     """Keys of all windows of a block of items, and what is needed to look documents up."""
 
     def __init__(self, items: list[tuple[int, list[str]]], seed: int = 7):
@@ -97,16 +97,13 @@ class CgkIndex:
         self.ids: dict[str | bytes, int] = {x: k + 2 for k, x in enumerate(vocab)}
         self.ids |= {x.encode(): k for x, k in self.ids.items()}
         size = len(vocab) + 2
-        self.bits = rng.integers(0, 2, size=(WALKS, STEPS, size), dtype=np.int8)
-        self.code = rng.integers(1, 2**62, size=(STEPS, size), dtype=np.int64) | 1
-        self.picks = [[np.sort(rng.choice(np.arange(2, STEPS), SAMPLED - 1, replace=False)).tolist() for _ in range(KEYS_PER_WALK)] for _ in range(WALKS)]
+        self.code = rng.integers(1, 2**62, size=(KEY_WORDS, size), dtype=np.int64) | 1
         self.passages = [np.array([self.ids[x] for x in w], dtype=np.int32) for _, w in self.items]
         flat, owner = self._lay(self.passages)
-        keys = self.keys(flat)
         start = np.flatnonzero(owner >= 0)
         self.flat, self.item_at = flat, owner
         self.lookup: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for k in keys:
+        for k in self.keys(flat):
             v = k[start]
             order = np.argsort(v, kind="stable")
             table = np.zeros(1 << _TABLE_BITS, dtype=bool)
@@ -126,27 +123,20 @@ class CgkIndex:
             at += len(t) + WINDOW
         return flat, owner
 
-    def keys(self, flat: np.ndarray) -> list[np.ndarray]:
-        """For every place the keys of the window that starts there."""
+    def keys(self, flat: np.ndarray) -> Iterator[np.ndarray]:
+        """For each pattern of gaps the keys of the windows that start at every place."""
         n = len(flat)
-        ext = np.concatenate([flat, np.full(STEPS, _PAD, dtype=np.int32)])
-        base = np.arange(n, dtype=np.int32)
-        out = []
-        for walk in range(WALKS):
-            i = np.zeros(n, dtype=np.int8)
-            acc = [np.zeros(n, dtype=np.int64) for _ in range(KEYS_PER_WALK)]
-            last = max(max(p) for p in self.picks[walk])
-            for step in range(last + 1):
-                sym = ext[base + i]
-                used = [a for a, p in zip(acc, self.picks[walk]) if step == 0 or step in p]
-                if used:
-                    c = self.code[step][sym]
-                    for a in used:
-                        a += c
-                i += self.bits[walk, step][sym]
-            for a in acc:
-                out.append((a ^ (a >> 29)) & 0x7FFFFFFFFFFFFFFF)
-        return out
+        ext = np.concatenate([flat, np.full(2 * (KEY_WORDS - 1), _PAD, dtype=np.int32)])
+        codes = [c[ext] for c in self.code]
+
+        def walk(word: int, at: int, acc: np.ndarray) -> Iterator[np.ndarray]:
+            if word == KEY_WORDS:
+                yield (acc ^ (acc >> 29)) & 0x7FFFFFFFFFFFFFFF
+                return
+            for gap in (1, 2):
+                yield from walk(word + 1, at + gap, acc + codes[word][at + gap : at + gap + n])
+
+        yield from walk(1, 0, codes[0][:n])
 
     def candidates(self, docs: list[np.ndarray]) -> set[tuple[int, int]]:
         """Pairs (document, item) with windows that share a key and differ by single replaced words only."""
@@ -165,14 +155,19 @@ class CgkIndex:
                 continue
             there = place[np.repeat(lo, n) + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)]
             equal = flat[at[:, None] + step] == self.flat[there[:, None] + step]
-            # The first word is part of every key; a stretch of full length has its last word or the one after it.
+            # True wherever a stretch begins: its first word is part of every key, and one of full length has its last
+            # word or the one after it.
             head = equal[:, :WINDOW]
-            near = (head[:, 1:] | head[:, :-1]).all(axis=1) & (equal[:, -1] | equal[:, -2]) & (head.sum(axis=1) > WINDOW // 2)
+            near = (head[:, 1:] | head[:, :-1]).all(axis=1) & (equal[:, -1] | equal[:, -2])
             found.append(owner[at[near]].astype(np.int64) << 32 | self.item_at[there[near]])
         pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, dtype=np.int64)
         return {(int(p >> 32), int(p & 0xFFFFFFFF)) for p in pairs}
 
 
+#: The index under its former name.
+CgkIndex = PassageIndex
+
+
 def _runs(equal: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and last place of the stretches on one alignment, of which ``equal`` has the places of equal words."""
     if len(equal) < MIN_STRETCH // 2:
@@ -233,7 +228,7 @@ def leaked_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         block = passages[at : at + BLOCK_ITEMS]
 
         def run(batches: Iterable[pd.DataFrame], block=block) -> Iterator[pd.DataFrame]:
-            index = CgkIndex(block)
+            index = PassageIndex(block)
             for pdf in batches:
                 for part in range(0, len(pdf), 500):
                     ids = pdf["doc_id"].iloc[part : part + 500].tolist()
