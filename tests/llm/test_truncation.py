@@ -19,6 +19,18 @@ def test_endings(spark, text, kind):
     assert spark.createDataFrame([(text,)], "t string").select(ending(F.col("t"))).first()[0] == kind
 
 
+LONG = "x" * 400
+FAR = {
+    f'Text <img alt="It is done. {LONG} here!': "markup", f"Text [see](https://x.org/{LONG}.": "markup", f"Text [{LONG}](https://x.org/{LONG}!": "markup", f"Text [a (b) c](https://x.org/{LONG}!": "markup", f"Text {{{{ name | default '{LONG}' and done.": "markup",
+    f"Text <b>{LONG}</b> is done.": None, f"Text 3 < 4 {LONG} is done.": None, f"Text [see](https://x.org/{LONG}) is done.": None, f"Text {{{{ name }}}} {LONG} is done.": None, f"Text a](b {LONG} is done.": None, f"Text [a](b {LONG} is done.": None, f"<b open\n{LONG} is done.": None,
+}
+
+
+@pytest.mark.parametrize(("text", "kind"), FAR.items())
+def test_markup_open_for_long(spark, text, kind):
+    assert spark.createDataFrame([(text,)], "t string").select(ending(F.col("t"))).first()[0] == kind
+
+
 def test_prefix_join_against_brute_force(spark):
     r = random.Random(2)
     base = ["".join(r.choice("ab ") for _ in range(120)) for _ in range(30)]

@@ -23,6 +23,8 @@ OMISSION = r"(?i)[\s ]*(?:…|\.{3,}|\[(?:…|\.{3}|more|mehr|continued)\]|\((?
 SENTENCE_END = r"[.!?…。！？]['\"’”»›)\]}*_`]*$"
 #: Open mark-up at the very end: tags, comments, entities, links, half characters.
 OPEN_MARKUP = r"<[A-Za-z/!?][^<>]*$|<$|&#?[A-Za-z0-9]{0,8}$|\[[^\]\n]*\]\([^)\s]*$|!?\[[^\]\n]{0,200}$|�$|\{\{[^}]*$"
+#: An open link target, which like tags and templates may be longer than ``TAIL``.
+OPEN_LINK = r"\[[^\]\n]*\]\([^)\s]*$"
 #: Last lines that are complete without a full stop.
 COMPLETE_LINE = (
     r"^#{1,6}\s+\S"  # heading
@@ -46,7 +48,7 @@ GREETING = r"(?i)(?:regards|wishes|greetings|grüßen|groet|cordialement|saludos
 TITLE_WORDS = 4
 
 
-#: Rules that are anchored at the end look at so many last characters; none of them reaches further.
+#: Rules that are anchored at the end look at so many last characters. What reaches further is :func:`_open_far`'s.
 TAIL = 300
 #: Characters of a value that decide its partition. Values that share more than this sort inside one partition, and the
 #: sample that Spark takes to set the bounds stays small.
@@ -57,6 +59,17 @@ def _rtrim(text: Column) -> Column:
     return F.rtrim(text, F.lit(" \t\n\r\f\u000b\u00a0"))
 
 
+def _open_far(line: Column) -> Column:
+    """Whether a tag, link target or template is open at the end of a line, however long it is. Looks for the last
+    opening and closing marks; a pattern reads only lines with an open ``](``."""
+    tag = F.substring_index(line, "<", -1)
+    return (
+        (line.contains("<") & ~tag.contains(">") & tag.rlike(r"^[A-Za-z/!?]"))
+        | F.substring_index(line, "}", -1).contains("{{")
+        | (F.substring_index(line, ")", -1).contains("](") & line.rlike(OPEN_LINK))
+    )
+
+
 def ending(text: Column) -> Column:
     """``markup``, ``omission`` or ``sentence`` if the end of the text shows that it was cut, else null."""
     t = _rtrim(text)
@@ -68,7 +81,7 @@ def ending(text: Column) -> Column:
     signed = t.contains("\n") & before.rlike(GREETING) & (F.size(F.split(line, r"\s+")) <= 5)
     return (
         F.when(t == "", None)
-        .when(tail.rlike(OPEN_MARKUP), "markup")
+        .when(tail.rlike(OPEN_MARKUP) | ((F.length(line) > TAIL) & _open_far(line)), "markup")
         .when(tail.rlike(OMISSION), F.when(~bare.rlike(SENTENCE_END) & bare.rlike(r"[\p{L}\p{N},;]$"), "omission"))
         .when(tail.rlike(SENTENCE_END), None)
         .when(line.rlike(COMPLETE_LINE) | line.rlike(CLOSING) | signed | short_title, None)
