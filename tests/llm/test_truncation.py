@@ -50,3 +50,9 @@ def test_documents(spark):
     assert truncated_texts(df.limit(0)).collect() == []
     by = {r["source"]: (r["n_texts"], r["n_cut"]) for r in truncation_by_source(df).collect()}
     assert by == {"web_scraper": (2, 1), None: (1, 1), "wiki": (3, 0)}
+
+
+def test_short_values_with_a_longer_copy(spark):
+    rows = [(1, "Brand context of Ferr"), (2, "Brand context of Ferrari shops and their names."), (3, "Whole title"), (4, "Whole title. And more."), (5, "…"), (6, "Other title")]
+    got = {r["doc_id"]: r["evidence"] for r in truncated_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: "prefix"}

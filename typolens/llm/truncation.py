@@ -120,8 +120,8 @@ def _adjacent(edges: bool):
     return run
 
 
-def strict_prefixes(values: DataFrame, min_chars: int = 40) -> DataFrame:
-    """``value, goes_on``: each distinct value of at least ``min_chars`` that a longer value continues, and how.
+def strict_prefixes(values: DataFrame) -> DataFrame:
+    """``value, goes_on``: each distinct value, other than the empty one, that a longer value continues, and how.
 
     ``values`` has a column ``value``. Copies collapse before the shuffle, so a text that many rows share costs one
     row; values are range-partitioned by their first ``RANGE_CHARS`` characters, which splits even a usual instruction at
@@ -129,7 +129,7 @@ def strict_prefixes(values: DataFrame, min_chars: int = 40) -> DataFrame:
     The first and last value of each partition meet in a second pass over two rows a partition.
     """
     schema = T.StructType([T.StructField("value", T.StringType()), T.StructField("goes_on", T.StringType()), T.StructField("kind", T.StringType())])
-    distinct = values.filter(F.length("value") >= min_chars).select("value").distinct()
+    distinct = values.filter(F.length("value") > 0).select("value").distinct()
     found = cut(distinct.repartitionByRange(F.substring("value", 1, RANGE_CHARS)).sortWithinPartitions("value").mapInPandas(_adjacent(True), schema))
     seams = found.filter("kind = 'edge'").select("value").repartition(1).sortWithinPartitions("value").mapInPandas(_adjacent(False), schema)
     return found.filter("kind = 'hit'").unionByName(seams).groupBy("value").agg(F.min("goes_on").alias("goes_on"))
