@@ -104,3 +104,13 @@ def test_evaluation(spark):
     assert [tuple(r) for r in evaluate.append_new(labels, spark.createDataFrame([("a.com", "NEW"), ("A.com", "Fire")], "brand string, keyword string")).collect()] == [("a.com", "NEW")]
     many = spark.range(40).select(F.lit("v").alias("vertical"), F.concat(F.lit("b"), F.col("id").cast("string")).alias("brand"))
     assert {tuple(r) for r in evaluate.sample_brands(many, 5).collect()} == {tuple(r) for r in evaluate.sample_brands(many.repartition(9), 5).collect()}
+
+
+def test_evaluation_sample_order_and_usage(spark):
+    rows = spark.createDataFrame([("b.com", "Y", None), ("A.com", "z", "reject"), ("A.com", "q", ""), ("a.com", "x", None), ("A.com", "B", None)], "brand string, keyword string, label string")
+    assert [tuple(r) for r in evaluate.unlabelled_sample(rows, 2).collect()] == [("A.com", "B"), ("a.com", "x")]
+    assert [r["keyword"] for r in rows.orderBy(*evaluate.evaluation_order()).collect()] == ["B", "q", "x", "z", "Y"]
+    usage = spark.createDataFrame([("a", 3, 1), ("a", None, 2), ("b", 5, 0)], "run string, prompt_tokens long, completion_tokens long")
+    assert tuple(evaluate.usage_sums(usage).first()) == (8, 3)
+    assert {tuple(r) for r in evaluate.usage_sums(usage, ("run",)).collect()} == {("a", 3, 3), ("b", 5, 0)}
+    assert tuple(evaluate.usage_sums(usage.limit(0)).first()) == (0, 0)

@@ -45,6 +45,23 @@ def inactive_labels(generated: DataFrame, labels: DataFrame) -> DataFrame:
     return labels.filter("label != ''").select(*pair_key()).distinct().join(generated.select(*pair_key()), ["b", "k"], "left_anti")
 
 
+def unlabelled_sample(rows: DataFrame, n: int = 20) -> DataFrame:
+    """The first ``n`` generated rows without a label, by brand and keyword in lower case."""
+    brand, keyword = F.col("brand"), F.col("keyword")
+    return rows.filter("label IS NULL").select(brand, keyword).orderBy(F.lower(brand), F.lower(keyword), brand, keyword).limit(n)
+
+
+def evaluation_order(brand: str = "brand", keyword: str = "keyword", label: str = "label") -> list[Column]:
+    """Brand, then rows still to be labelled, then keyword."""
+    labelled = F.coalesce(F.col(label), F.lit("")) != ""
+    return [F.lower(F.col(brand)).asc(), labelled.asc(), F.lower(F.col(keyword)).asc(), F.col(brand).asc(), F.col(keyword).asc()]
+
+
+def usage_sums(usage: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Sums of ``prompt_tokens`` and ``completion_tokens``; a missing figure counts 0."""
+    return usage.groupBy(*by).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("prompt_tokens", "completion_tokens")])
+
+
 def upsert_pairs(sources: list[tuple[str, DataFrame]]) -> DataFrame:
     """Union of pair lists in order: first casing, sources joined by ``+``, first non-empty label."""
     rows = None
