@@ -1,10 +1,13 @@
+from collections import Counter
+
+import numpy as np
 import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from typolens.functions.keys import normalize_domain
-from typolens.operators.dataset_diff import diff_copies, merge_sorted, multiset_diff, schema_difference
+from typolens.operators.dataset_diff import _Merge, diff_copies, multiset_diff, schema_difference
 
 SCHEMA = "domain string, run_no int, status string, n double"
 FIELDS = ["domain", "status", "n"]
@@ -37,21 +40,58 @@ def test_hot_key_and_clashing_columns(spark):
     assert [tuple(r) for r in out] == [("hot.com", "1", "copies")]
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.tuples(st.sampled_from("abcd"), st.sampled_from([0, 1]), st.sampled_from(["x", "y", None])), max_size=30), st.integers(1, 7))
-def test_merge_in_any_batches(rows, size):
-    rows = sorted(rows, key=lambda r: (r[0], r[1], r[2] or ""))
-    pdf = pd.DataFrame([(k, s, f, 1) for k, s, f in rows], columns=["__k0", "__side", "__f0", "__n"])
-    got = {tuple(r) for part in merge_sorted((pdf.iloc[i : i + size] for i in range(0, len(pdf), size)), 1, ["f"]) for r in part.itertuples(index=False)}
+def findings_of(rows, size, splits):
+    """Findings of the merge over ranges cut at ``splits`` and batches of ``size`` rows; seam states are summed."""
+    spots = {v: (k + 1) ** 3 for k, v in enumerate(sorted({r[2:] for r in rows}, key=str))}
+    rows = sorted([(k, spots[v], s, *v) for k, s, *v in ((r[0], r[1], r[2:]) for r in rows) for v in v])
+    pdf = pd.DataFrame(rows, columns=["__k0", "__h", "__side", "__f0", "__f1"]).assign(__n=1)
+    pdf["__f0"] = pdf["__f0"].replace("", None)
+    parts = np.array([sum((r[0], r[1]) >= s for s in splits) for r in rows], dtype=int)
+    got, seams = set(), {}
+    for part in range(len(splits) + 1):
+        m = _Merge(1, ["f", "g"])
+        mine = pdf[parts == part]
+        done = [d for i in range(0, len(mine), size) for d in m.rows(mine.iloc[i : i + size])] + m.end()
+        for d in done:
+            for k, finding, state in d[["__k0", "finding", "state"]].itertuples(index=False):
+                if state is None:
+                    assert (k, finding) not in got
+                    got.add((k, finding))
+                else:
+                    seams[k] = seams.get(k, 0) + np.array(state)
+    for k, state in seams.items():
+        got |= {(k, name) for at, name in _Merge(1, ["f", "g"]).findings(state[None]) if len(at)}
+    return got
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abcd"), st.sampled_from([0, 1]), st.sampled_from(["x", "y", ""]), st.sampled_from("pq")), max_size=30), st.integers(1, 7), st.lists(st.tuples(st.sampled_from("abcd"), st.integers(0, 220)), max_size=4))
+def test_merge_in_any_batches_and_ranges(rows, size, splits):
     want = set()
     for k in {r[0] for r in rows}:
-        a, b = ([r[2] for r in rows if r[0] == k and r[1] == s] for s in (0, 1))
+        a, b = ([r[2:] for r in rows if r[0] == k and r[1] == s] for s in (0, 1))
         if not a or not b:
             want.add((k, "missing_in_candidate" if a else "missing_in_baseline"))
-        else:
-            want |= {(k, "f")} if a[0] != b[0] else set()
-            want |= {(k, "copies")} if len(a) != len(b) else set()
-    assert got == want
+            continue
+        fields = {(k, name) for j, name in enumerate("fg") if Counter(x[j] for x in set(a)) != Counter(x[j] for x in set(b))}
+        want |= fields | ({(k, "copies")} if len(a) != len(b) else set()) | ({(k, "rows")} if not fields and set(a) != set(b) else set())
+    assert findings_of(rows, size, splits) == want
+
+
+def test_repeats_that_are_not_identical(spark):
+    x, y, z = (("a.com", 1, s, 1.0) for s in "xyz")
+    assert run(spark, [x, y], [x, z]) == [("a.com", "1", "status")]
+    assert run(spark, [x, y], [y, x]) == []
+    assert {f for _, _, f in run(spark, [x, y], [x])} == {"domain", "status", "n", "copies"}
+    swapped = [("a.com", 1, "x", 2.0), ("a.com", 1, "y", 1.0)]
+    assert run(spark, [("a.com", 1, "x", 1.0), ("a.com", 1, "y", 2.0)], swapped) == [("a.com", "1", "rows")]
+
+
+def test_key_of_very_many_rows_spreads(spark):
+    b = spark.range(30_000).selectExpr("IF(id % 3 = 0, 'hot.com', concat(id, '.com')) AS domain", "1 AS run_no", "concat('s', id % 5000) AS status", "double(id) AS n")
+    c = b.withColumn("status", F.expr("IF(n = 3333, 'other', status)"))
+    out = diff_copies(b.repartition(6), c.repartition(3), {"domain": F.col("domain"), "run_no": F.col("run_no")}, FIELDS).collect()
+    assert [tuple(r) for r in out] == [("hot.com", "1", "status")]
 
 
 def test_multiset_and_schema(spark):
