@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,18 +16,37 @@ SUFFIXES = (
 ).split()
 
 
-def _pattern(suffixes: list[str] | None) -> str:
-    known = sorted(set(suffixes or SUFFIXES), key=lambda s: (-s.count("."), s))
-    # A lazy optional head takes as few labels as possible, so the longest known suffix wins.
-    return r"^(?:(.+?)\.)??([^.]+)\.(" + "|".join(re.escape(s) for s in known) + r")$"
+def domain_parts(host: Column, suffixes: list[str] | None = None) -> Column:
+    """``struct(sub, label, suffix)``; all empty if there is no known suffix or nothing before it.
 
+    The longest known suffix with a label before it counts. Suffixes are looked up by their number of labels, so a long
+    list costs no more than a short one.
+    """
+    known: dict[int, list[str]] = {}
+    for s in sorted(set(suffixes or SUFFIXES)):
+        known.setdefault(s.count(".") + 1, []).append(s)
+    parts = lambda sub, label, suffix: F.struct(sub.alias("sub"), label.alias("label"), suffix.alias("suffix"))
+    nothing = parts(F.lit(""), F.lit(""), F.lit(""))
 
-def domain_parts(host: Column, suffixes: list[str] | None = None) -> Column:
-    """``struct(sub, label, suffix)``; all empty if there is no known suffix or nothing before it."""
-    p = _pattern(suffixes)
-    bare = host.isin(list(suffixes or SUFFIXES))
-    part = lambda i: F.when(bare, "").otherwise(F.regexp_extract(host, p, i))
-    return F.struct(part(1).alias("sub"), part(2).alias("label"), part(3).alias("suffix"))
+    def split(h: Column, suffix: Column) -> Column:
+        def at_label(rest: Column, label: Column) -> Column:
+            sub = lambda x: F.when(rest == label, parts(x, label, suffix)).when(x != "", parts(x, label, suffix))
+            return F.when(label != "", let(F.left(rest, F.length(rest) - F.length(label) - 1), sub))
+
+        return let(F.left(h, F.length(h) - F.length(suffix) - 1), lambda rest: let(F.substring_index(rest, ".", -1), lambda label: at_label(rest, label)))
+
+    def longest(h: Column) -> Column:
+        ends = lambda n: let(F.substring_index(h, ".", -n), lambda s: F.when(s.isin(known[n]) & (s != h), split(h, s)))
+        tried = [ends(n) for n in sorted(known, reverse=True)]
+        return F.when(h.isin(list(suffixes or SUFFIXES)), nothing).otherwise(F.coalesce(*tried, nothing))
+
+    return let(host, lambda h: F.when(h.isNotNull(), longest(h)))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once. A nested expression would repeat it in each place, as trees of
+    expressions share nothing, and soon be too large to compile."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def _host(c: Column) -> Column:
@@ -37,23 +56,26 @@ def _host(c: Column) -> Column:
 
 def registrable_sld(c: Column, suffixes: list[str] | None = None) -> Column:
     """Second-level label of a domain: without a dot as it is, without a known suffix the first label."""
-    host = normalize_domain(c)
-    label = domain_parts(host, suffixes)["label"]
-    return F.when(~F.contains(host, F.lit(".")), host).when(label != "", label).otherwise(F.substring_index(host, ".", 1))
+    def body(host: Column) -> Column:
+        label = let(domain_parts(host, suffixes), lambda p: F.when(p["label"] != "", p["label"]).otherwise(F.substring_index(host, ".", 1)))
+        return F.when(~F.contains(host, F.lit(".")), host).otherwise(label)
+
+    return let(normalize_domain(c), body)
 
 
 def address_matching_sld(c: Column, suffixes: list[str] | None = None) -> Column:
     """Second-level label of an address that has a known suffix and no subdomain (``www`` is one), else ``""``."""
-    host = _host(c)
-    parts = domain_parts(host, suffixes)
-    return F.when(~F.contains(host, F.lit(".")), host).when(parts["sub"] == "", parts["label"]).otherwise("")
+    def body(host: Column) -> Column:
+        label = let(domain_parts(host, suffixes), lambda p: F.when(p["sub"] == "", p["label"]).otherwise(""))
+        return F.when(~F.contains(host, F.lit(".")), host).otherwise(label)
+
+    return let(_host(c), body)
 
 
 def registrable_domain(c: Column, suffixes: list[str] | None = None) -> Column:
     """Label and suffix of a normalised domain, or the text itself if no suffix is known."""
-    host = normalize_domain(c)
-    parts = domain_parts(host, suffixes)
-    return F.when(parts["label"] != "", F.concat(parts["label"], F.lit("."), parts["suffix"])).otherwise(host)
+    whole = lambda host: let(domain_parts(host, suffixes), lambda p: F.when(p["label"] != "", F.concat(p["label"], F.lit("."), p["suffix"])).otherwise(host))
+    return let(normalize_domain(c), whole)
 
 
 def last_label(c: Column) -> Column:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from typolens.functions.domains import address_matching_sld, registrable_domain, registrable_sld
+from typolens.functions import permute
+from typolens.functions.domains import SUFFIXES, address_matching_sld, registrable_domain, registrable_sld
 from typolens.functions.keys import normalize_domain, strip
 from typolens.functions.phonetic import phonetic_code_udf
-from typolens.functions.textdist import dice_bigram, edit_threshold, qwerty_substitutions
+from typolens.functions.textdist import QWERTY_NEIGHBOURS, dice_bigram, edit_threshold, qwerty_substitutions
 from typolens.operators import crawl, evaluate, match, report, selection, targets
 from typolens.operators.dataset_diff import multiset_diff
 from typolens.plans.problems import sql_domain, sql_strip
@@ -58,8 +59,7 @@ def normalized_domains(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "golden_base").select("domain", normalize_domain(F.col("domain")).alias("normalized")).distinct()
 
 
-_SUFFIX_RE = "|".join(s.replace(".", "\\.") for s in sorted(set("""com net org io co info biz app shop store online site xyz cm fitness travel club dev ai tv me
-de nl fr es pt pl it eu uk co.uk org.uk br com.br ch at be us ca cz se no dk fi ie lt in au com.au jp co.jp mx com.mx ar com.ar""".split()), key=lambda s: (-s.count("."), s)))
+_SUFFIX_RE = "|".join(s.replace(".", "\\.") for s in sorted(set(SUFFIXES), key=lambda s: (-s.count("."), s)))
 
 
 def _sql_parts(host: str, group: int) -> str:
@@ -105,8 +105,7 @@ def fuzzy_match(spark: SparkSession, d: str) -> DataFrame:
     return match.fuzzy_pairs(*_sides(spark, d))
 
 
-_NEAR = "q:was w:qeasd e:wrsdf r:etdfg t:ryfgh y:tughj u:yihjk i:uojkl o:ipkl p:o[l a:qwszx s:adwexzc d:sferxcv f:dgrtcvb g:fhtyvbn h:gjyubnm j:hkuinm, k:jliom,. l:k;op,./ z:asx x:zsdc c:xdfv v:cfgb b:vghn n:bhjm m:njk,".split()
-_NEAR_SQL = "case token[i] " + " ".join(f"when '{x[0]}' then '{x[2:]}'" for x in _NEAR) + " else '' end"
+_NEAR_SQL = "case token[i] " + " ".join(f"when '{k}' then '{v}'" for k, v in QWERTY_NEIGHBOURS.items()) + " else '' end"
 _QWERTY = f"(select count(*) from unnest(range(1, least(length(token), length(address_sld)) + 1)) t(i) where contains({_NEAR_SQL}, address_sld[i]))"
 _GRAMS = lambda c: f"list_distinct([{c}[i:i+1] for i in range(1, length({c}))])"
 
@@ -120,12 +119,37 @@ def fuzzy_scores(spark: SparkSession, d: str) -> DataFrame:
     return s.select("token", "address_sld", "distance", "qwerty_subs", F.col("final_score").alias("base_score"), "score_dice", "score_jarowinkler")
 
 
-@_query()
+def _sql_swaps(table: dict[str, list[str]]) -> str:
+    """Each character replaced by each one that the table has for it."""
+    to = "case token[i] " + " ".join(f"when '{k}' then [{', '.join(map(repr, v))}]" for k, v in table.items() if v) + " else [] end"
+    return f"flatten([[token[:i-1] || c || token[i+1:] for c in {to}] for i in range(1, length(token) + 1)])"
+
+
+def _sql_glyph(src: str, dst: str) -> str:
+    return f"[token[:i-1] || '{dst}' || token[i+{len(src)}:] for i in range(1, length(token) + 1) if token[i:i+{len(src) - 1}] = '{src}']"
+
+
+_CLASS_SQL = {
+    "omission": "[token[:i-1] || token[i+1:] for i in range(1, length(token) + 1)]",
+    "transposition": "[token[:i-1] || token[i+1] || token[i] || token[i+2:] for i in range(1, length(token)) if token[i] <> token[i+1]]",
+    "qwerty_sub": _sql_swaps({k: [x for x in v if x in permute.ALLOWED] for k, v in QWERTY_NEIGHBOURS.items()}),
+    "homoglyph": "flatten([" + ", ".join(_sql_glyph(x, y) for x, y in permute.HOMOGLYPHS) + "])",
+    "doubling": "[token[:i] || token[i:] for i in range(1, length(token) + 1)]",
+    "hyphenation": "[token[:i] || '-' || token[i+1:] for i in range(1, length(token))]",
+    "vowel_swap": _sql_swaps({v: [x for x in "aeiou" if x != v] for v in "aeiou"}),
+    "bitsquat": _sql_swaps({c: [x for x in permute.ALLOWED if (ord(x) ^ ord(c)).bit_count() == 1] for c in permute.ALLOWED}),
+}
+_ALL_TOKENS = _TOKENS.replace("where token <> ''", "")
+_VARIANTS = "variants as (select token, variant, arg_min(c, r) as generated_class from (" + " union all ".join(f"select token, unnest({sql}) as variant, '{c}' as c, {k} as r from tokens" for k, (c, sql) in enumerate(_CLASS_SQL.items())) + ") where variant <> token and regexp_full_match(variant, '[a-z0-9-]{3,}') and variant[1] <> '-' and variant[-1] <> '-' group by token, variant)"
+_PROBE = f"{_VARIANTS}, probe as (select token, variant as address_sld, generated_class from variants where variant in (select address_sld from slds))"
+
+
+@_query(f"with {_ALL_TOKENS}, {_VARIANTS} select token, variant, generated_class from variants")
 def generated_variants(spark: SparkSession, d: str) -> DataFrame:
     return match.generated_variants(_sides(spark, d)[0])
 
 
-@_query()
+@_query(f"with {_ALL_TOKENS}, {_SLDS}, {_PROBE} select token, address_sld, generated_class from probe")
 def generated_probe(spark: SparkSession, d: str) -> DataFrame:
     return match.generated_pairs(*_sides(spark, d))
 
@@ -153,6 +177,37 @@ def match_taxonomy(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy(kind.alias("match_type")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("brand").alias("n_brands"))
 
 
+_REGISTRABLE = lambda c: f"case when ({_sql_parts(sql_domain(c), 2)}) <> '' then ({_sql_parts(sql_domain(c), 2)}) || '.' || ({_sql_parts(sql_domain(c), 3)}) else {sql_domain(c)} end"
+_LAST = lambda c: f"case when contains({c}, '.') then lower(split_part({c}, '.', -1)) else '' end"
+
+
+@_query(f"""with {_PAIRS}, {_PROBE},
+joint as (select token, address_sld, distance, null as generated_class from pairs union all
+  select token, address_sld, cast(damerau_levenshtein(token, address_sld) as integer), generated_class from probe where not exists (select 1 from pairs p where p.token = probe.token and p.address_sld = probe.address_sld)),
+q as (select *, least(cast({_QWERTY} as integer), distance) as qwerty_subs from joint),
+k as (select distinct lower({sql_strip('brand_domain')}) as brand, lower({sql_strip('keyword')}) as keyword, {_SLD_OF_KW} as token from ({_CLEAN_BRANDS})),
+a as (select address, {_sql_sld('address')} as address_sld from ({_CLEAN_ADDRESSES})),
+r as (select *, {_REGISTRABLE('brand')} as own, {_REGISTRABLE('address')} as other from q join k using (token) join a using (address_sld))
+select brand, keyword, address as keyword_misspelling,
+  case when generated_class is not null then 'generated' when own = other then 'self' when distance = 0 then 'exact_other_tld' when starts_with(address_sld, token) and length(address_sld) > length(token) then 'affix' else 'misspelling' end as match_type,
+  generated_class, distance, qwerty_subs, {_LAST('address')} = {_LAST('brand')} as tld_match,
+  round(1.0 - (distance::double - 0.4::double * qwerty_subs::double) / greatest(length(token), length(address_sld))::double, 4) as final_score,
+  round(jaro_winkler_similarity(token, address_sld), 4) as score_jarowinkler,
+  round(case when len({_GRAMS('token')}) + len({_GRAMS('address_sld')}) = 0 then 1.0 else 2.0 * len(list_intersect({_GRAMS('token')}, {_GRAMS('address_sld')}))::double / (len({_GRAMS('token')}) + len({_GRAMS('address_sld')}))::double end, 4) as score_dice from r""")
+def match_inventory_plain(spark: SparkSession, d: str) -> DataFrame:
+    """The whole matcher without the phonetic factor, which SQL has no function for."""
+    return match.match_inventory(*_sides(spark, d), phonetic=False).drop("phonetic_match")
+
+
+#: Words with the primary code of the published algorithm.
+_PINS = {"smith": "SM0", "schmidt": "XMT", "thumb": "0M", "knight": "NT", "night": "NT", "xavier": "SF", "caesar": "SSR", "wright": "RT", "pneumonia": "NMN", "phone": "FN", "church": "XRX", "judge": "JJ", "cough": "KF", "laugh": "LF", "thomas": "TMS", "zebra": "SPR", "gnome": "NM", "psalm": "SLM", "quick": "KK", "vision": "FSN"}
+
+
+@_query("select * from (values " + ", ".join(f"('{w}', '{c}')" for w, c in _PINS.items()) + ") t(word, code)")
+def phonetic_pins(spark: SparkSession, d: str) -> DataFrame:
+    return spark.createDataFrame([(w,) for w in _PINS], "word string").withColumn("code", phonetic_code_udf("word"))
+
+
 @_query()
 def phonetic_codes(spark: SparkSession, d: str) -> DataFrame:
     return _sides(spark, d)[0].select("token").distinct().withColumn("code", phonetic_code_udf("token"))

@@ -49,17 +49,3 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-#: Rows of short strings that may be broadcast: some 64 MB.
-BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` to be broadcast if a count proves it small, else to be joined by sort and merge.
-
-    For sides that an explode has blown up, which the optimizer's size estimate does not see.
-    """
-    from pyspark.sql import functions as F
-
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df.hint("merge")
