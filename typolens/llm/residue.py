@@ -1,7 +1,9 @@
 """Template residue, filler and error-page text.
 
 Numbers, addresses and dates are masked, so that copies of one message agree; exact hashes of the masked text are
-grouped across sources, and each distinct message is classified once by phrase and placeholder rules.
+grouped across sources, and each distinct message is classified once by phrase and placeholder rules. Some phrases stand
+in error messages and in ordinary sentences alike: they count only for a line that recurs on several sources, as messages
+of servers and shop systems do.
 """
 
 from __future__ import annotations
@@ -26,17 +28,18 @@ PLACEHOLDER, FILLER, MESSAGE = "placeholder", "filler", "message"
 _NAME = r"[A-Za-z_][\w.:#-]*"
 #: Unfilled placeholders and leaked program values, by syntax.
 PLACEHOLDERS = [
-    r"\{\{\{?\s*[^{}]{1,80}\}\}\}?", r"\{%[^%{}]{1,80}%\}", r"<%[=#-]?[^%<>]{1,80}%>", r"<\?(?:php|=)[^<>]{0,120}\?>", r"[$#]\{\s*[^{}]{1,80}\}",
-    rf"%%{_NAME}%%", rf"@@{_NAME}@@", rf"\b__{_NAME}__\b", rf"\[\[\s*{_NAME}\s*\]\]", r"\[(?:INSERT|ENTER|ADD|YOUR|TODO)\b[^\[\]]{0,60}\]",
-    r"<(?:your|insert|enter)\s[^<>]{1,60}>", rf"(?<![\w%])%{_NAME}%(?![\w%])", r"\{(?:\d{1,2}|#)\}", r"\[object \w+\]", r"\{[a-z_]+(?:\.[a-z_]+)*\}",
-    r"(?i:(?:warning|notice|fatal error|parse error|uncaught \w+): .{0,80}(?:undefined|uncaught|unexpected)\b.{0,120}\bline \S+)",
+    r"\{\{\{?\s*[^{}]+\}\}\}?", r"\{%[^%{}]+%\}", r"<%[=#-]?[^%<>]+%>", r"<\?(?:php|=)[^<>]*\?>", r"[$#]\{\s*[^{}]+\}",
+    rf"%%{_NAME}%%", rf"@@{_NAME}@@", rf"\b__{_NAME}__\b", rf"\[\[\s*{_NAME}\s*\]\]", r"\*\|[A-Z_:#]+\|\*", r"\[(?:INSERT|ENTER|ADD|YOUR|TODO)\b[^\[\]]*\]",
+    r"\[(?i:your|first|last|full|company|product|customer|user|brand|shop)[ _-](?i:name|title|e-?mail|company|address|text|city|website)\]", r"\[(?i:insert|enter|add) [^\[\]]+\]",
+    r"<(?:your|insert|enter)\s[^<>]+>", rf"(?<![\w%])%{_NAME}%(?![\w%])", r"\{(?:\d{1,2}|#)\}", r"\[object \w+\]", r"\{[a-z_]+(?:\.[a-z_]+)*\}",
+    r"(?i:(?:warning|notice|fatal error|parse error|uncaught \w+): .*(?:undefined|uncaught|unexpected)\b.*\bline \S+)",
 ]
 #: A whole field that is nothing but a leaked value, alone or as one part of a composed title.
 LEAKED_PARTS = r"(?i)^(?:undefined|null|nan|none|n/?a|\(null\)|untitled(?: document| page)?|new page|document)$"
 #: Wording that says that a placeholder is spoken of. It counts only where it touches that placeholder, as pages that
 #: mention templates hold unfilled ones as well.
 SPOKEN_BEFORE = r"(?i)\b(?:(?:we|you|they) (?:write|type)|type in|placeholders?(?: is| are| like| such as| called| named)?|syntax(?: is| of| for| like)?|(?:brackets|braces)(?: like| such as| as in)?)[:,]?\s*[\"'`“„‘«(]*$"
-SPOKEN_AFTER = r"(?i)^[\"'`”“’»)]*\s*(?:(?:(?:is|are|was|were|gets?|will be|must be)\s+)?replaced (?:by|with)|(?:is|are|as) (?:a |an |the )?(?:placeholders?|syntax)|(?:placeholders?|syntax)|prints|(?:in|into|to) (?:the|your|a) gift note)\b"
+SPOKEN_AFTER = r"(?i)^[\"'`”“’»)]*\s*(?:(?:(?:is|are|was|were|gets?|will be|must be)\s+)?replaced (?:by|with)|(?:is|are|as) (?:a |an |the )?(?:placeholders?|syntax)|(?:placeholders?|syntax)|(?:in|into|to) (?:the|your|a) (?:\w+ ){0,3}(?:field|box|form))\b"
 #: What may stand between placeholders that are listed.
 SPOKEN_LIST = r"(?i)^[\"'`”’»)]*\s*(?:,|/|,?\s*\b(?:and|or)\b)\s*[\"'`“„‘«(]*$"
 
@@ -46,31 +49,35 @@ _LOREM_SHORT = frozenset("ut et do ad in ex ea id est non eu sed".split())
 
 #: Filler and sample texts.
 FILLERS = [
-    r"\byour (?:content|text|headline|title|description) (?:goes|comes) here\b", r"\b(?:asdf\s*){2,}", r"\bqwertz?\b.*\btest\b", r"\btest test\b", r"\bplease ignore this test\b", r"\bthis (?:first )?(?:entry|post|page|text) (?:was made for you|is (?:a|only a) (?:sample|placeholder|test))\b",
-    r"\bdouble-click this block\b", r"\bedit (?:it )?or delete (?:it|this)\b", r"\bchange it or delete it\b", r"\badd (?:a|your) (?:short )?(?:description|text|title|sentence)\b.{0,40}\bhere\b", r"\breplace this text\b", r"\bhier (?:steht|kommt) (?:ihr|ein) text\b", r"\bsample (?:text|page)\s*[.:!]?$", r"\bthis is (?:a sample|your first|an example) (?:page|post|text|product)\b",
-    r"\bthe quick brown fox\b", r"\bxxx+\b", r"\btbd\b|\bto be (?:added|announced|written) soon\b", r"\bblindtext\b", r"\btexto de (?:ejemplo|exemplo|prueba)\b", r"\btexte d'exemple\b", r"\bvoorbeeldtekst\b", r"\bprzykładowy tekst\b",
+    r"\b(?:your |add |insert |enter )?(?:content|text|headline|title|description) (?:goes|comes) here\b", r"\b(?:your|add|insert|enter)(?: (?:a|your|some|short))* (?:content|text|headline|title|description) here\b", r"\b(?:asdf\s*){2,}", r"\bqwertz?\b.*\btest\b", r"\btest test\b", r"\bignore this test\b", r"\bthis (?:entry|post|page|text) is (?:a|only a|just a) (?:sample|placeholder|test)\b",
+    r"\bclick\b.*\bto edit\b", r"\b(?:edit|change|replace)(?: it| this)? or delete (?:it|this)\b", r"\badd (?:a|an|your|some)\b.*\b(?:description|text|title|sentence|paragraph|content)\b.*\bhere\b", r"\breplace this (?:text|page|paragraph|sentence|content)\b", r"\bhier (?:steht|kommt) (?:ihr|ein) text\b", r"\bsample (?:text|page)\s*[.:!]?$", r"\bthis is (?:a sample|your first|an example) (?:page|post|text|product)\b",
+    r"\bthe quick brown fox\b", r"\bxxx+\b", r"\btbd\b|\bto be (?:added|announced|written) soon\b", r"\btodo:", r"\bblindtext\b", r"\btexto de (?:ejemplo|exemplo|prueba)\b", r"\btexte d'exemple\b", r"\bvoorbeeldtekst\b", r"\bprzykładowy tekst\b",
 ]
 
-#: Messages of errors, denials, checks, maintenance and scripts; each must fit the whole of a short line.
+#: Messages of errors, denials, checks, maintenance and scripts; each must open the line.
 MESSAGES = [
     # errors and missing pages
-    r"^(?:error|fehler|fout|erreur|erro|błąd)?\s*#?\s*[:!.-]?\s*.{0,40}\b(?:page|seite|pagina|página|strona|link|resource|file|url)\b.{0,80}\b(?:could not be found|cannot be found|was not found|not found|nicht gefunden|niet gevonden|introuvable|no se encuentra|no existe|não foi encontrada|não existe|nie istnieje|does not exist|never existed|has expired|została usunięta|has been removed)\b",
-    r"^(?:error|fehler|fout|erreur|erro|błąd) #?\s?:", r"^# (?:not found|forbidden|service (?:temporarily )?unavailable|bad gateway|gateway time-?out|internal server error|unauthorized|gone|too many requests)\b",
+    r"^(?:error|fehler|fout|erreur|erro|błąd)?\s*#?\s*[:!.-]?\s*.{0,40}\b(?:page|seite|pagina|página|strona|link|resource|file|url)\b.*\b(?:could not be found|cannot be found|was not found|not found|nicht gefunden|existiert nicht|niet gevonden|bestaat niet|introuvable|n'existe pas|no se encuentra|no existe|não foi encontrada|não existe|nie istnieje|does not exist|doesn't exist|never existed|has expired|została usunięta|has been removed)\b",
+    r"^(?:error|fehler|fout|erreur|erro|błąd) #?\s?:", r"^# (?:not found|forbidden|service (?:temporarily )?unavailable|bad gateway|gateway time-?out|internal server error|unauthorized|gone|too many requests|backend fetch failed)\b",
     r"^(?:page not found|not found|error|an error occurred|server error|seite nicht gefunden|pagina niet gevonden|page introuvable|página no encontrada|página não encontrada|nie znaleziono strony)\W*(?:#)?$",
-    r"^(?:sorry|oops|entschuldigung|désolé|lo sentimos|przepraszamy)\b.{0,60}\b(?:wrong|error|fehler|erreur|problem)\b", r"\bsomething went wrong\b.{0,60}\b(?:try again|our side)\b", r"\bse ha producido un (?:error|fallo)\b", r"\bes ist ein fehler aufgetreten\b", r"\bune erreur (?:s'est produite|est survenue)\b", r"\bocorreu um erro\b", r"\bwystąpił błąd\b", r"\ber is (?:een fout|iets mis) ?(?:opgetreden|gegaan)\b",
-    r"\b(?:database|connection) .{0,30}could not be established\b", r"\bstack trace:", r"\buncaught exception\b", r"\bserver cannot handle the request\b", r"\bservice (?:temporarily )?unavailable\b",
+    r"^(?:sorry|oops|entschuldigung|désolé|lo sentimos|przepraszamy)\b.*\b(?:wrong|error|fehler|erreur|problem)\b", r"\bsomething went wrong\b", r"\bse ha producido un (?:error|fallo)\b", r"\bes ist ein fehler aufgetreten\b", r"\bune erreur (?:s'est produite|est survenue)\b", r"\bocorreu um erro\b", r"\bwystąpił błąd\b", r"\ber is (?:een fout|iets mis) ?(?:opgetreden|gegaan)\b",
+    r"^error (?:establishing|connecting|loading|opening|reading|processing|fetching|saving)\b", r"\b(?:database|connection)\b.*\b(?:could not|cannot|can't|failed to) be (?:established|opened|made)\b", r"\bstack trace:", r"\buncaught exception\b", r"^(?:the )?(?:request|connection|server|gateway)(?: has)? (?:timed out|refused|reset)\b", r"\bservice (?:temporarily )?unavailable\b",
     # denial and checks
-    r"^access denied\W*$", r"\baccess to (?:this|the) (?:resource|page|site) (?:was|is|has been) (?:denied|forbidden|blocked)\b", r"\byour request looked unusual\b", r"\btoo many requests have come\b", r"\bchecking that the connection\b", r"\b(?:verify|verifying|check|checking) (?:that )?you are (?:a )?human\b", r"\bchecking your browser\b", r"\byou have been blocked\b", r"\b(?:zugriff|acceso|accès|acesso|toegang|dostęp).{0,30}(?:verweigert|denegado|refusé|negado|geweigerd|zabroniony)\b",
+    r"^access denied\W*$", r"\baccess to (?:this|the) (?:resource|page|site) (?:was|is|has been) (?:denied|forbidden|blocked)\b", r"\b(?:unusual|suspicious|automated) (?:traffic|activity|requests?)\b.*\b(?:your|detected)\b", r"^too many requests\b", r"\b(?:verify|verifying|check|checking)\b.*\b(?:you are|connection|comes from)\b.*\b(?:human|person|robot|browser)\b", r"\bchecking your browser\b", r"\byou have been blocked\b", r"\b(?:complete|solve|enter) (?:the|this) captcha\b", r"\b(?:zugriff|acceso|accès|acesso|toegang|dostęp).{0,30}(?:verweigert|denegado|refusé|negado|geweigerd|zabroniony)\b",
     # maintenance
-    r"^maintenance mode\W*$", r"^(?:# )?(?:bad gateway|gateway time-?out|service unavailable|internal server error|forbidden|unauthorized)\W*$", r"^(?:one|just a) moment\b.{0,20}$", r"\b(?:site|shop|store|service|page) is (?:currently |temporarily )?(?:down for|under|in) maintenance\b", r"\bunder maintenance\b", r"\bscheduled maintenance\b", r"\bback (?:soon|shortly|online)\b.{0,30}$",
+    r"^maintenance mode\W*$", r"^(?:# )?(?:bad gateway|gateway time-?out|service unavailable|internal server error|forbidden|unauthorized)\W*$", r"^(?:one|just a) moment\b.{0,20}$", r"\b(?:site|shop|store|service|page) is (?:currently |temporarily )?(?:down for|under|in) maintenance\b", r"\bunder maintenance\b", r"\bscheduled maintenance\b",
     r"\b(?:dienst|seite|service|servicio|serviço|usługa|strona|dienst)\b.{0,40}\b(?:zurzeit nicht erreichbar|momentanément indisponible|no está disponible|não está disponível|jest niedostępna|niet beschikbaar|nicht verfügbar)\b", r"\b(?:wartungsarbeiten|en maintenance|en mantenimiento|em manutenção|onderhoudswerkzaamheden|przerwa techniczna)\b",
     # scripts
-    r"\b(?:turn on|enable|allow|activate|aktivieren sie|activer|active|ative|włącz|zet|schakel).{0,30}\b(?:javascript|scripts?)\b.{0,60}\b(?:browser|navegador|navigateur|przeglądarce|browser|continue|view|page)\b", r"\b(?:javascript|scripts?|scripting)\b.{0,60}\b(?:switched off|is off|disabled|is required|are required|must be enabled|are allowed)\b", r"\bbrowser does not (?:run|support) (?:java)?scripts?\b", r"\bworks only when scripts are allowed\b", r"\bnothing can be shown while scripting\b",
+    r"\b(?:turn on|enable|allow|activate|aktivieren sie|activer|active|ative|włącz|zet|schakel).{0,30}\b(?:javascript|scripts?)\b.*\b(?:browser|navegador|navigateur|przeglądarce|browser|continue|view|page)\b", r"\b(?:javascript|scripts?|scripting)\b.*\b(?:switched off|is off|disabled|is required|are required|must be enabled|are allowed)\b", r"\bbrowser does not (?:run|support) (?:java)?scripts?\b",
     # default names of empty pages
     r"^(?:untitled(?: document| page)?|default (?:page|web ?site)|new page|index of /.*|welcome to nginx.*|it works!?|coming soon\W*|just a moment\W*|null|undefined|home \| undefined|maintenance)$",
 ]
-#: Text that only speaks of such things.
-ABOUT = r"(?i)\b(?:course|exhibition|collection|courses|guide for|poster|printers|in the visitor book|sign from|is our promise|catalogue can be ordered|prevention in|test results of|we explain how|teaches?|beginners)\b"
+#: Phrases that messages share with ordinary sentences.
+COMMON = [
+    r"\b(?:try again|come back later|reload|(?:re)?load (?:the|this) page|wait (?:a|some|#))\b", r"\b(?:was|is|been|got) (?:denied|forbidden|blocked|refused|interrupted)\b", r"\b(?:cannot|could not|can't|unable to) (?:load|display|show|connect|process|handle|complete)\b", r"\btimed out\b", r"\bcaptcha\b", r"\bback (?:soon|shortly|online)\b", r"\bnot available (?:in your|at this|right now|at the moment)\b",
+]
+#: Sources on which a line of a common phrase must stand.
+RECURS = 3
 
 _PLACEHOLDER = re.compile("|".join(f"(?:{p})" for p in PLACEHOLDERS))
 _BEFORE, _AFTER, _LIST = re.compile(SPOKEN_BEFORE), re.compile(SPOKEN_AFTER), re.compile(SPOKEN_LIST)
@@ -78,13 +85,13 @@ _BEFORE, _AFTER, _LIST = re.compile(SPOKEN_BEFORE), re.compile(SPOKEN_AFTER), re
 _NEAR = 60
 _FILLER = re.compile("(?i)" + "|".join(f"(?:{p})" for p in FILLERS))
 _MESSAGE = [re.compile("(?i)" + p) for p in MESSAGES]
-_ABOUT = re.compile(ABOUT)
+_COMMON = re.compile("(?i)" + "|".join(f"(?:{p})" for p in COMMON))
+_SENTENCE = re.compile(r"(?<=[.!?])\s+")
 _LEAKED = re.compile(LEAKED_PARTS)
 _PARTS = re.compile(r"\s+[|–:-]+\s+|\s+::\s+")
 _WORDS = re.compile(r"[^\W\d_]+")
 _CACHE = 50_000
 
-_MESSAGE_CHARS = 220
 #: Most literals that one place of a rule is multiplied out to.
 _MOST_LITERALS = 64
 
@@ -158,15 +165,13 @@ def literals(pattern: str) -> set[str]:
 
 @cache
 def _automaton() -> ahocorasick.Automaton:
-    """Finds what the rules need in one pass. The literals come from the rules themselves, each with the length of line
-    that the rule reaches; words of dummy text have the length 0, as two of them are needed."""
-    reach = dict.fromkeys(_LOREM_WORDS - _LOREM_SHORT, 0)
-    for rules, most in ((MESSAGES, _MESSAGE_CHARS), (PLACEHOLDERS + FILLERS, 1 << 30)):
-        for rule in rules:
-            for w in literals(rule):
-                reach[w] = max(reach.get(w, 0), most)
+    """Finds what the rules need in one pass. The literals come from the rules themselves; words of dummy text have the
+    value 0, as two of them are needed."""
+    need = dict.fromkeys(_LOREM_WORDS - _LOREM_SHORT, 0)
+    for rule in PLACEHOLDERS + FILLERS + MESSAGES + COMMON:
+        need.update(dict.fromkeys(literals(rule), 1))
     a = ahocorasick.Automaton()
-    for w, n in reach.items():
+    for w, n in need.items():
         a.add_word(w, n)
     a.make_automaton()
     return a
@@ -194,12 +199,11 @@ def _lower(text: str) -> str:
 
 def triggered(text: str) -> bool:
     """Whether a rule may apply to a masked line: false only if :func:`classify` gives None."""
-    n, dummy, low = len(text), 0, _lower(text)
-    for _, most in _automaton().iter(low):
-        if most == 0:
-            dummy += 1
-        elif n <= most:
+    dummy = 0
+    for _, kind in _automaton().iter(_lower(text)):
+        if kind:
             return True
+        dummy += 1
     return (dummy > 1 and _lorem(_WORDS.findall(text.lower()))) or _leaked(text)
 
 
@@ -235,19 +239,29 @@ def _unfilled(text: str) -> bool:
     return not all(spoken)
 
 
-def classify(text: str) -> str | None:
-    """Kind of a masked line (``placeholder``, ``filler``, ``message``) or None."""
+def opening(text: str) -> str:
+    """The first two sentences of a line."""
+    return " ".join(_SENTENCE.split(text)[:2])
+
+
+def classify(text: str, n_sources: int = 1) -> str | None:
+    """Kind of a masked line (``placeholder``, ``filler``, ``message``) that stands on so many sources, or None.
+
+    Placeholders and filler count anywhere in the line. A message is what the line opens with; a line that consists of
+    nothing but one or two sentences of a common phrase counts if it recurs.
+    """
     if not text:
         return None
     if _unfilled(text):
         return PLACEHOLDER
     if _leaked(text):
         return MESSAGE if text.lower().startswith("untitled") else PLACEHOLDER
-    if _ABOUT.search(text):
-        return None
     if _lorem(_WORDS.findall(text.lower())) or _FILLER.search(text):
         return FILLER
-    if len(text) <= _MESSAGE_CHARS and any(m.search(text) for m in _MESSAGE):
+    first = opening(text)
+    if any(m.search(first) for m in _MESSAGE):
+        return MESSAGE
+    if n_sources >= RECURS and len(_COMMON.findall(text)) > 1:
         return MESSAGE
     return None
 
@@ -283,18 +297,17 @@ def residue_messages(pages: DataFrame, id_col: str, fields: list[str], source_co
     messages = hits.groupBy("h").agg(F.first("masked").alias("masked"), F.count(F.lit(1)).alias("n_lines"), F.count_distinct("source").alias("n_sources"))
 
     @F.pandas_udf("string")
-    def kind(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in texts:
-            yield s.map(classify)
+    def kind(texts: pd.Series, sources: pd.Series) -> pd.Series:
+        return pd.Series([classify(t, n) for t, n in zip(texts, sources)], dtype=object)
 
-    return hits.drop("masked"), messages.withColumn("kind", kind("masked")).filter("kind IS NOT NULL")
+    return hits.drop("masked"), messages.withColumn("kind", kind("masked", "n_sources")).filter("kind IS NOT NULL")
 
 
 def residue_fields(pages: DataFrame, id_col: str = "page_id", fields: tuple[str, ...] = ("main_content", "title", "meta_description"), source_col: str = "domain") -> DataFrame:
     """``page_id, field_name, kinds`` of every field that holds residue, filler or an error or script message.
 
     Lines are masked and grouped by the exact hash of the masked text over all pages; each distinct line is judged
-    once, and the verdict returns to its fields by an equi-join on the hash. Only lines that contain a trigger of some
+    once, by its rules and the number of hosts on which it recurs, and the verdict returns to its fields by an equi-join on the hash. Only lines that contain a trigger of some
     rule take part, so clean text is not shuffled. Null and empty fields and empty tables give no rows; a field with
     several findings has one row; repeated pages are judged alike; other columns are ignored.
     """
