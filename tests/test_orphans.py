@@ -46,7 +46,7 @@ def test_random_against_brute_force(spark):
     refs = [("t", i, "f", r.choice("ab"), "k" if r.random() < 0.5 else r.choice("klmnopq"), day(r.randrange(-3, 70))) for i in range(400)]
     want = brute(refs, parents)
     assert run(spark, refs, parents) == want
-    assert run(spark, refs, parents, salts=3) == want
+    assert run(spark, refs, parents, rows_per_salt=3) == want
 
 
 def test_empty_and_repeated(spark):

@@ -15,8 +15,10 @@ ALWAYS = "timestamp_ntz'9999-12-31 23:59:59.999999'"
 NEVER = "timestamp_ntz'0001-01-01 00:00:00'"
 _NO_TIME = "timestamp_ntz'9999-12-31 23:59:59.999998'"
 
-#: A key with at least this share of all references is salted; there can be at most 1 / share of them.
-HOT_SHARE = 0.01
+#: Keys that the sketch tells apart; a key below one in so many of all references is never hot.
+SKETCH_KEYS = 1_000
+#: A key with more references than this is salted, with a salt for each so many of them.
+ROWS_PER_SALT = 50_000
 
 
 def _merge(df: DataFrame, by: list[str]) -> DataFrame:
@@ -44,14 +46,15 @@ def compress_runs(parents: DataFrame) -> DataFrame:
     return _merge(_merge(rows, ["parent", "key", "__part"]).select("parent", "key", "run_start", "run_end"), ["parent", "key"])
 
 
-def hot_references(refs: DataFrame, share: float = HOT_SHARE) -> list[tuple[str, str]]:
-    """Keys that may hold ``share`` of all references, from a mergeable frequent-items sketch (at most 1 / share)."""
-    k = int(1 / share)
-    got = refs.filter(F.col("key").isNotNull()).agg(F.expr(f"approx_top_k(concat(parent, '\\u0000', key), {k}, {k * 64})").alias("top"), F.count(F.lit(1)).alias("n")).first()
-    return [tuple(x["item"].split("\0", 1)) for x in got["top"] or [] if x["count"] >= share * got["n"]]
+def hot_references(refs: DataFrame, rows: int = ROWS_PER_SALT) -> list[tuple[str, str, int]]:
+    """``(parent, key, salts)`` of keys that may have more than ``rows`` references, from a mergeable frequent-items sketch
+    (at most ``SKETCH_KEYS``)."""
+    k = SKETCH_KEYS
+    got = refs.filter(F.col("key").isNotNull()).agg(F.expr(f"approx_top_k(concat(parent, '\\u0000', key), {k}, {k * 8})").alias("top")).first()
+    return [(*x["item"].split("\0", 1), -(-x["count"] // rows)) for x in got["top"] or [] if x["count"] > rows]
 
 
-def orphan_references(refs: DataFrame, parents: DataFrame, salts: int = 32) -> DataFrame:
+def orphan_references(refs: DataFrame, parents: DataFrame, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """``table_name, row_id, ref_field, ref_at, reason`` of every reference without a valid parent.
 
     ``refs`` has ``table_name, row_id, ref_field, parent, key, ref_at``; a null key is no reference. ``reason`` is
@@ -59,8 +62,9 @@ def orphan_references(refs: DataFrame, parents: DataFrame, salts: int = 32) -> D
     a time can only be ``missing``. Repeated references are all reported; an empty parent table makes every reference
     missing. References of hot keys are salted and the few runs of such a key are copied to each salt.
     """
-    hot = hot_references(refs)
-    hot_key = F.struct("parent", "key").isin([F.struct(F.lit(p), F.lit(k)) for p, k in hot]) if hot else F.lit(False)
+    hot = hot_references(refs, rows_per_salt)
+    hot_key = F.concat("parent", F.lit("\0"), "key").isin([f"{p}\0{k}" for p, k, _ in hot]) if hot else F.lit(False)
+    salts = max((n for _, _, n in hot), default=1)
     runs = compress_runs(parents)
     never = F.struct(F.expr(NEVER).alias("at"), F.expr(NEVER).alias("run_end"))
     own = F.struct(F.col("run_start").alias("at"), F.col("run_end"))
