@@ -5,37 +5,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: A group with more than this share of all rows is heavy; there are at most 1 / share heavy groups.
-HEAVY_SHARE = 0.005
+#: A group with more rows than this is heavy, and so many rows of it make a salt.
+LIGHT_ROWS = 20_000
+#: Of more heavy groups only the largest ones are salted. A group that is left then has less than one in so many of all
+#: rows, no more than a task has anyway.
+MOST_HEAVY = 10_000
 
 
-def top_n_per_group(df: DataFrame, group: str, n: int, order: list[Column], distinct: str | None = None, salts: int = 64, heavy_share: float = HEAVY_SHARE) -> DataFrame:
+def top_n_per_group(df: DataFrame, group: str, n: int, order: list[Column], distinct: str | None = None, light_rows: int = LIGHT_ROWS) -> DataFrame:
     """The first ``n`` rows of every ``group`` by ``order``, at most one per value of ``distinct``, with ``rank``.
 
     Exact group counts (partially aggregated) split the groups: light groups go through one exchange on the group and
-    ordinary windows; a heavy group's rows are spread over ``salts`` ranges by the hash of ``distinct`` (or of all
-    columns), each range is sorted and cut to ``n``, and only those survivors meet in the final window. ``order`` must
-    be total for a reproducible result. A null group is no group. Groups with fewer than ``n`` items are returned
-    whole; ``n`` below 1 and empty tables give no rows; extra columns are kept.
+    ordinary windows; a heavy group's rows are spread over as many salts as it has ``light_rows``, by the hash of
+    ``distinct`` (or of all columns), and range-partitioned by group and salt; each range is sorted and cut to ``n``, and
+    only those survivors meet in the final window. ``order`` must be total for a reproducible result. A null group is no
+    group. Groups with fewer than ``n`` items are returned whole; ``n`` below 1 and empty tables give no rows; extra
+    columns are kept.
     """
     rows = df.filter(F.col(group).isNotNull())
-    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("__n"))
-    total = rows.count()
-    heavy = [r[0] for r in sizes.filter(F.col("__n") > heavy_share * total).limit(int(1 / heavy_share) + 1).collect()]
-    is_heavy = F.col(group).isin(heavy) if heavy else F.lit(False)
+    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > light_rows)
+    heavy = [(r[0], -(-r[1] // light_rows)) for r in sizes.orderBy(F.col("__n").desc(), group).limit(MOST_HEAVY).collect()]
     first = lambda by: F.row_number().over(W.partitionBy(*by).orderBy(*order))
 
-    light = rows.filter(~is_heavy).repartition(group)
-    if distinct:
-        light = light.withColumn("__d", first([group, distinct])).filter("__d = 1").drop("__d")
-    result = light.withColumn("rank", first([group])).filter(F.col("rank") <= n)
-    if heavy:
-        salt = F.pmod(F.xxhash64(distinct) if distinct else F.xxhash64(*df.columns), F.lit(salts)).cast("int")
-        hot = rows.filter(is_heavy).withColumn("__salt", salt)
+    def best(part: DataFrame, by: list[str]) -> DataFrame:
         if distinct:
-            hot = hot.withColumn("__d", first([group, "__salt", distinct])).filter("__d = 1").drop("__d")
-        ranged = hot.repartitionByRange(F.col(group), F.col("__salt")).sortWithinPartitions(group, "__salt", *order)
-        local = ranged.withColumn("rank", first([group, "__salt"])).filter(F.col("rank") <= n).drop("__salt", "rank")
-        result = result.unionByName(local.withColumn("rank", first([group])).filter(F.col("rank") <= n))
-    return result
+            part = part.withColumn("__d", first([*by, distinct])).filter("__d = 1").drop("__d")
+        return part.withColumn("rank", first(by)).filter(F.col("rank") <= n)
+
+    if not heavy:
+        return best(rows.repartition(group), [group])
+    kind = df.schema[group]
+    salts = F.broadcast(df.sparkSession.createDataFrame(heavy, T.StructType([kind, T.StructField("__salts", T.LongType())])))
+    names = salts.select(group)
+    light = best(rows.join(F.broadcast(names), group, "left_anti").select(*df.columns).repartition(group), [group])
+    spot = F.xxhash64(distinct) if distinct else F.xxhash64(*df.columns)
+    hot = rows.join(salts, group).withColumn("__salt", F.pmod(spot, F.col("__salts"))).select(*df.columns, "__salt")
+    # The windows below are clustered by these columns already: nothing is exchanged between them.
+    local = best(hot.repartitionByRange(group, "__salt"), [group, "__salt"]).select(*df.columns)
+    return light.unionByName(local.withColumn("rank", first([group])).filter(F.col("rank") <= n))
