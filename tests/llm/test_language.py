@@ -54,9 +54,33 @@ def test_priors_shrink(spark):
 
 
 def test_prior_decides_short_text():
-    ev = np.array([[0, 1, 1] + [0.0] * 8], dtype=np.float32)
+    ev = np.array([[0, 1, 1] + [0.0] * 9], dtype=np.float32)
     prior = np.log(np.array([0.02] * 6 + [0.88]))
-    assert fuse(ev, "?", prior)[0] == 6 and fuse(ev, "es", np.full(7, -1.9))[0] == LANGUAGES.index("es")
+    assert fuse(ev, "?", prior)[0] == 6
+    label = np.log(np.where(np.eye(7) > 0, 0.94, 0.01))
+    assert fuse(ev, "es", np.full(7, -1.9), label)[0] == LANGUAGES.index("es")
+    # A label that is often wrong moves less than one that is right.
+    often = np.log(np.where(np.eye(7) > 0, 0.16, 0.14))
+    assert fuse(ev, "es", prior, often)[0] == 6
+
+
+OTHERS = {
+    "it": "La casa sulla collina fu costruita da un contadino che voleva vedere il fiume da ogni finestra della sua stanza",
+    "sv": "Huset på kullen byggdes av en bonde som ville se floden från varje fönster i sitt rum och ingenting annat",
+    "ru": "Дом на холме построил крестьянин, который хотел видеть реку из каждого окна своей комнаты и больше ничего",
+    "ja": "丘 の 上 の 家 は 川 を 見たい 農夫 が 建てた もの で ある",
+    "cs": "Dům na kopci postavil sedlák, který chtěl vidět řeku z každého okna svého pokoje a nic jiného",
+}
+
+
+def test_other_languages_get_none(spark):
+    """Fitted on a table of this project, texts of other languages have no language, those of the seven have theirs."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/crawl_pages.parquet")
+    m = fit_text_model(sample_lines(pages, "page_id", "main_content", "lang"))
+    assert 0.6 <= m.known <= 0.95
+    rows = [(100 + k, "x.com", "en", t + ".", None, "") for k, t in enumerate(OTHERS.values())] + [(k, "x.com", None, TEXT[x] + ".", None, "") for k, x in enumerate(LANGUAGES)]
+    got = page_languages(spark.createDataFrame(rows, SCHEMA), model=m).filter("line_no = -1").collect()
+    assert sorted((r["page_id"], r["lang"]) for r in got) == list(enumerate(LANGUAGES))
 
 
 def test_sample_is_bounded(spark):

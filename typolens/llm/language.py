@@ -1,7 +1,8 @@
 """Language of documents and of their segments by Bayesian evidence fusion.
 
-Text likelihoods (words, and letter trigrams for unknown words) are combined with the declared markup language, the
-address suffix and host priors. The priors come from grouped aggregation and are smoothed hierarchically: a host is
+Text likelihoods (words, and letter trigrams for unknown words) are combined with the declared markup language, by how
+often its labels were found right, the address suffix and host priors. A class for all other languages takes texts of
+which too few words are known. The priors come from grouped aggregation and are smoothed hierarchically: a host is
 shrunk towards its suffix, a suffix towards the whole.
 """
 
@@ -35,7 +36,13 @@ DUMMY = (
 SAMPLE_PAGES = 1500
 MIN_SEGMENT_WORDS = 8
 _LETTERS = re.compile(r"[^\W\d_]+")
-_K = len(LANGUAGES) + 1
+#: Classes: the languages, dummy text, and any other language or none.
+_L = len(LANGUAGES)
+_DUMMY, _OTHER, _K = _L, _L + 1, _L + 2
+#: Prior of the last two classes, and the share of words of another language that happen to be known.
+RARE_PRIOR, OTHER_PRIOR, KNOWN_ELSEWHERE = 1e-3, 1e-2, 0.25
+#: No language is reported below this confidence.
+MIN_CONFIDENCE = 0.5
 _CACHE = 200_000
 
 
@@ -49,11 +56,17 @@ def label_language(c: Column) -> Column:
 
 @dataclass
 class TextModel:
-    """Relative log likelihoods of words and trigrams; the last class is dummy text."""
+    """Relative log likelihoods of words and trigrams for the languages and dummy text.
+
+    ``known`` is the share of a text's words that the vocabulary has, if its language is one of these; ``label`` has the
+    log probability of each declared language (column) where the text is in a language (row).
+    """
 
     words: dict[str, int]
     matrix: np.ndarray
     trigrams: dict[str, np.ndarray]
+    known: float = KNOWN_ELSEWHERE
+    label: np.ndarray = field(default_factory=lambda: np.zeros((_L, _L)))
     extra: dict[str, np.ndarray] = field(default_factory=dict)
 
     def unknown(self, word: str) -> np.ndarray:
@@ -61,7 +74,7 @@ class TextModel:
         if v is None:
             w = f" {word} "
             parts = [self.trigrams[t] for t in (w[i : i + 3] for i in range(len(w) - 2)) if t in self.trigrams]
-            v = np.clip(0.5 * np.sum(parts, axis=0), -2, 2) if parts else np.zeros(_K)
+            v = np.clip(0.5 * np.sum(parts, axis=0), -2, 2) if parts else np.zeros(_L + 1)
             if len(self.extra) < _CACHE:
                 self.extra[word] = v
         return v
@@ -85,10 +98,12 @@ class TextModel:
             at = np.repeat(np.arange(len(texts)), n)
             k = np.array(ids)
             known = k >= 0
-            for c in range(_K):
+            for c in range(_L + 1):
                 out[:, c] = np.bincount(at[known], weights=self.matrix[k[known], c], minlength=len(texts))
+            found_n = np.bincount(at[known], minlength=len(texts))
+            out[:, _OTHER] = found_n * np.log(KNOWN_ELSEWHERE / self.known) + (n - found_n) * np.log((1 - KNOWN_ELSEWHERE) / (1 - self.known))
         for i, w in rest:
-            out[i] += self.unknown(w)
+            out[i, : _L + 1] += self.unknown(w)
         return out, n
 
 
@@ -104,9 +119,9 @@ def fit_text_model(rows: list[tuple[str, str]], rounds: int = 3) -> TextModel:
     for k, t in rows:
         w = tuple(_LETTERS.findall(t.lower()))
         if w and k in known:
-            votes.setdefault(w, np.zeros(_K - 1))[known[k]] += 1
+            votes.setdefault(w, np.zeros(_L))[known[k]] += 1
     lines = list(votes)
-    given = np.array([votes[w] for w in lines]).reshape(-1, _K - 1)
+    given = np.array([votes[w] for w in lines]).reshape(-1, _L)
     total = given.sum(axis=1, keepdims=True)
     # A line that stands on many pages votes by the shares of their labels, and at most fifty times.
     weight = given / np.maximum(total, 1) * np.minimum(total, 50)
@@ -115,24 +130,32 @@ def fit_text_model(rows: list[tuple[str, str]], rounds: int = 3) -> TextModel:
         words: dict[str, np.ndarray] = {}
         for w, c in zip(lines, weight):
             for x in w:
-                words.setdefault(x, np.zeros(_K))[: _K - 1] += c
+                words.setdefault(x, np.zeros(_L + 1))[:_L] += c
         for x in DUMMY:
-            words.setdefault(x, np.zeros(_K))[_K - 1] += max(20.0, words[x].sum() * 2 if x in words else 20.0)
+            words.setdefault(x, np.zeros(_L + 1))[_DUMMY] += max(20.0, words[x].sum() * 2 if x in words else 20.0)
         vocab = sorted(w for w, c in words.items() if c.sum() >= 3)
-        counts = np.array([words[w] for w in vocab]) if vocab else np.zeros((0, _K))
+        counts = np.array([words[w] for w in vocab]) if vocab else np.zeros((0, _L + 1))
         matrix = np.clip(_relative(counts, 0.3), -4, 4) if vocab else counts
         tri: dict[str, np.ndarray] = {}
         for w, c in zip(vocab, counts):
             s = f" {w} "
             seen = np.minimum(c, 1 + np.log1p(c))
             for i in range(len(s) - 2):
-                tri.setdefault(s[i : i + 3], np.zeros(_K)).__iadd__(seen)
+                tri.setdefault(s[i : i + 3], np.zeros(_L + 1)).__iadd__(seen)
         keys = sorted(tri)
         rel = np.clip(_relative(np.array([tri[t] for t in keys]), 1.0), -2, 2) if keys else []
         model = TextModel({w: i for i, w in enumerate(vocab)}, matrix.astype(np.float32), dict(zip(keys, rel)))
-        if r + 1 < rounds and lines:
+        if lines:
+            # A word counts as known if the vocabulary would have it without this line.
+            sizes = {w: c.sum() for w, c in words.items()}
+            tokens = [sizes[x] >= 4 for w in lines for x in w]
+            model.known = float(np.clip(np.mean(tokens), 0.6, 0.95)) if vocab else KNOWN_ELSEWHERE
             ll, _ = model.score([" ".join(w) for w in lines])
-            best = (ll[:, : _K - 1] + np.log((given + 1) / (total + _K - 1))).argmax(axis=1)
+            best = (ll[:, :_L] + np.log((given + 1) / (total + _L))).argmax(axis=1)
+            # How labels and texts go together, by lines; each label is wrong now and then.
+            seen_as = np.zeros((_L, _L))
+            np.add.at(seen_as, best, np.minimum(given, 50))
+            model.label = np.log((seen_as + 1) / (seen_as.sum(axis=1, keepdims=True) + _L))
             weight = np.zeros_like(given)
             weight[np.arange(len(lines)), best] = np.minimum(total[:, 0], 50)
     return model
@@ -158,14 +181,17 @@ def language_priors(pages: DataFrame, host_col: str, lang_col: str, strength: fl
     return joined.select("host", F.array(*[F.log((F.col(k) + strength * F.col("q_" + k)) / (n() + strength)).cast("float") for k in LANGUAGES]).alias("prior"))
 
 
-def fuse(ev: np.ndarray, declared: str, prior: np.ndarray) -> tuple[int, float, np.ndarray, np.ndarray]:
-    """Main language (-1: none) and confidence of a page, and the same per segment.
+def fuse(ev: np.ndarray, declared: str, prior: np.ndarray, label: np.ndarray | None = None) -> tuple[int, float, np.ndarray, np.ndarray]:
+    """Main language (-1: none) and confidence of a page, and class and confidence of each segment.
 
-    ``ev`` has a row per line: line number, words, is body, log likelihoods of the classes.
+    ``ev`` has a row per line: line number, words, is body, log likelihoods of the classes. ``label`` has the log
+    probabilities of declared languages (columns) given the true one (rows). Words of a line are not independent, and
+    lines of a page less so: their log likelihoods are tempered.
     """
-    page = np.append(prior.astype(float), np.log(1e-3))
-    if declared in LANGUAGES:
-        page[LANGUAGES.index(declared)] += 2.0
+    page = np.concatenate([prior.astype(float), [np.log(RARE_PRIOR), np.log(OTHER_PRIOR)]])
+    if declared in LANGUAGES and label is not None:
+        page[:_L] += label[:, LANGUAGES.index(declared)]
+        page[_L:] += np.log(1 / _L)
     ll = 0.7 * ev[:, 3:]
     words, body = ev[:, 1], ev[:, 2] > 0
     if not (body & (words > 0)).any():
@@ -177,11 +203,13 @@ def fuse(ev: np.ndarray, declared: str, prior: np.ndarray) -> tuple[int, float,
     best = post.argmax(axis=1)
     e = np.exp(post - post.max(axis=1, keepdims=True))
     conf = e[np.arange(len(e)), best] / e.sum(axis=1)
-    votes = np.bincount(best[body], weights=words[body], minlength=_K)[: _K - 1]
-    if not votes.any():
-        return -1, 0.0, best, conf
+    votes = np.bincount(best[body], weights=words[body], minlength=_K)
+    votes[_DUMMY] = 0
     main = int(votes.argmax())
-    return main, float((votes[main] + 1e-9) / (votes.sum() + 1e-9) * np.average(conf[body & (best == main)], weights=words[body & (best == main)])), best, conf
+    if not votes.any() or main == _OTHER:
+        return -1, 0.0, best, conf
+    mine = body & (best == main)
+    return main, float((votes[main] + 1e-9) / (votes.sum() + 1e-9) * np.average(conf[mine], weights=words[mine])), best, conf
 
 
 def _evidence(model: TextModel):
@@ -204,21 +232,24 @@ def _evidence(model: TextModel):
     return run
 
 
-def _decide(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        out: list[tuple] = []
-        for pid, declared, ev, prior in zip(pdf["page_id"], pdf["declared"], pdf["ev"], pdf["prior"]):
-            rows = np.frombuffer(ev, dtype=np.float32).reshape(-1, 3 + _K)
-            if not len(rows):
-                continue
-            main, conf, best, c = fuse(rows, declared, np.full(_K - 1, -np.log(_K - 1)) if prior is None else np.asarray(prior))
-            if main < 0:
-                continue
-            out.append((pid, -1, LANGUAGES[main], conf, declared != LANGUAGES[main]))
-            for r, k, p in zip(rows, best, c):
-                if r[1] >= MIN_SEGMENT_WORDS and k < _K - 1:
-                    out.append((pid, int(r[0]), LANGUAGES[k], float(p), bool(k != main)))
-        yield pd.DataFrame(out, columns=["page_id", "line_no", "lang", "confidence", "differs"]).astype({"line_no": np.int32, "confidence": float, "differs": bool})
+def _decide(label: np.ndarray):
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out: list[tuple] = []
+            for pid, declared, ev, prior in zip(pdf["page_id"], pdf["declared"], pdf["ev"], pdf["prior"]):
+                rows = np.frombuffer(ev, dtype=np.float32).reshape(-1, 3 + _K)
+                if not len(rows):
+                    continue
+                main, conf, best, c = fuse(rows, declared, np.full(_L, -np.log(_L)) if prior is None else np.asarray(prior), label)
+                if main < 0:
+                    continue
+                out.append((pid, -1, LANGUAGES[main], conf, declared != LANGUAGES[main]))
+                for r, k, p in zip(rows, best, c):
+                    if r[1] >= MIN_SEGMENT_WORDS and k < _L and p >= MIN_CONFIDENCE:
+                        out.append((pid, int(r[0]), LANGUAGES[k], float(p), bool(k != main)))
+            yield pd.DataFrame(out, columns=["page_id", "line_no", "lang", "confidence", "differs"]).astype({"line_no": np.int32, "confidence": float, "differs": bool})
+
+    return run
 
 
 def sample_lines(pages: DataFrame, id_col: str, text_col: str, lang_col: str, sample_pages: int = SAMPLE_PAGES) -> list[tuple[str, str]]:
@@ -238,9 +269,10 @@ def page_languages(pages: DataFrame, id_col: str = "page_id", text_col: str = "m
 
     ``differs`` says for a page that its label is missing or names another language, for a line that it is in another
     language than the page's main one (that of most words of the main body). Pages without text, without letters or
-    with nothing but dummy text have no rows; a null host gets the prior of the whole. If no page is labelled, the
+    with nothing but dummy text have no rows, nor have pages mainly in another language than ``LANGUAGES`` and lines in
+    another one or below ``MIN_CONFIDENCE``; a null host gets the prior of the whole. If no page is labelled, the
     text model is empty and the priors decide. Likelihoods are fitted on a bounded sample (``SAMPLE_PAGES`` labelled pages),
-    priors on all. Only evidence (44 bytes a line), never text, is shuffled to the host priors; AQE splits a hot host.
+    priors on all. Only evidence (48 bytes a line), never text, is shuffled to the host priors; AQE splits a hot host.
     """
     model = model or fit_text_model(sample_lines(pages, id_col, text_col, lang_col))
     kind = pages.schema[id_col].dataType
@@ -249,4 +281,4 @@ def page_languages(pages: DataFrame, id_col: str = "page_id", text_col: str = "m
     ev = spread(slim).mapInPandas(_evidence(model), T.StructType([T.StructField("page_id", kind), T.StructField("host", string), T.StructField("declared", string), T.StructField("ev", T.BinaryType())]))
     fused = ev.join(language_priors(pages, host_col, lang_col), "host", "left").select("page_id", "declared", "ev", "prior")
     schema = T.StructType([T.StructField("page_id", kind), T.StructField("line_no", T.IntegerType()), T.StructField("lang", string), T.StructField("confidence", T.DoubleType()), T.StructField("differs", T.BooleanType())])
-    return fused.mapInPandas(_decide, schema)
+    return fused.mapInPandas(_decide(model.label), schema)
