@@ -56,3 +56,16 @@ def test_short_values_with_a_longer_copy(spark):
     rows = [(1, "Brand context of Ferr"), (2, "Brand context of Ferrari shops and their names."), (3, "Whole title"), (4, "Whole title. And more."), (5, "…"), (6, "Other title")]
     got = {r["doc_id"]: r["evidence"] for r in truncated_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: "prefix"}
+
+
+def test_seams_meet_in_several_passes(spark, monkeypatch):
+    from typolens.llm import truncation
+
+    monkeypatch.setattr(truncation, "SEAM_TASK", 4)
+    r = random.Random(4)
+    base = ["".join(r.choice("ab") for _ in range(60)) for _ in range(40)] + ["a" * k for k in range(1, 40)]
+    vals = sorted({*base, *(b[: r.randrange(5, 60)] for b in base)})
+    # Values that share a long beginning are spread, and none is lost at a seam.
+    vals += ["instruction " * 30 + v for v in vals]
+    got = {x["value"] for x in strict_prefixes(spark.createDataFrame([(v,) for v in vals], "value string").repartition(8)).collect()}
+    assert got == {v for v in vals if any(x != v and x.startswith(v) for x in vals)}

@@ -50,9 +50,12 @@ TITLE_WORDS = 4
 
 #: Rules that are anchored at the end look at so many last characters. What reaches further is :func:`_open_far`'s.
 TAIL = 300
-#: Characters of a value that decide its partition. Values that share more than this sort inside one partition, and the
-#: sample that Spark takes to set the bounds stays small.
+#: Characters of each of the pieces whose order decides a value's partition, and their number. Even texts that share a
+#: beginning of several hundred characters are spread; the sample that sets the bounds holds these pieces, not the texts.
 RANGE_CHARS = 128
+RANGE_PIECES = 6
+#: Seams that one task compares at most (a text each); more are ranged and merged again.
+SEAM_TASK = 256
 
 
 def _rtrim(text: Column) -> Column:
@@ -90,12 +93,12 @@ def ending(text: Column) -> Column:
 
 
 def _bare(text: Column) -> Column:
-    """White space collapsed, end marks and half mark-up dropped: what a longer copy would start with."""
-    t = F.trim(F.regexp_replace(text, r"[\s ]+", " "))
-    head, tail = F.left(t, F.length(t) - TAIL), F.right(t, F.lit(TAIL))
-    tail = F.regexp_replace(tail, OMISSION, "")
-    tail = F.regexp_replace(tail, r"(?:\s?<[A-Za-z/!?]?[^<> ]{0,40}|&#?[A-Za-z0-9]{0,8}|�)$", "")
-    return F.concat(head, tail)
+    """White space collapsed, marks of omission and half characters at the end dropped: what a longer copy starts with.
+
+    Half mark-up stays, as the longer copy has the same half.
+    """
+    t = F.trim(F.regexp_replace(text, r"[\s\u00a0]+", " "))
+    return F.regexp_replace(F.when(t.rlike("[….\\])»eE\ufffd]$"), F.regexp_replace(t, OMISSION, "")).otherwise(t), "\ufffd+$", "")
 
 
 def _adjacent(edges: bool):
@@ -124,15 +127,26 @@ def strict_prefixes(values: DataFrame) -> DataFrame:
     """``value, goes_on``: each distinct value, other than the empty one, that a longer value continues, and how.
 
     ``values`` has a column ``value``. Copies collapse before the shuffle, so a text that many rows share costs one
-    row; values are range-partitioned by their first ``RANGE_CHARS`` characters, which splits even a usual instruction at
+    row; values are range-partitioned by their first ``RANGE_PIECES`` pieces, which splits even a usual instruction at
     the beginning of a third of all texts, and stream through the merge, so that none of them is held.
-    The first and last value of each partition meet in a second pass over two rows a partition.
+    The first and last value of each partition meet in further passes, each over a fraction of the seams.
     """
     schema = T.StructType([T.StructField("value", T.StringType()), T.StructField("goes_on", T.StringType()), T.StructField("kind", T.StringType())])
+    pieces = [F.substring("value", 1 + RANGE_CHARS * k, RANGE_CHARS) for k in range(RANGE_PIECES)]
     distinct = values.filter(F.length("value") > 0).select("value").distinct()
-    found = cut(distinct.repartitionByRange(F.substring("value", 1, RANGE_CHARS)).sortWithinPartitions("value").mapInPandas(_adjacent(True), schema))
-    seams = found.filter("kind = 'edge'").select("value").repartition(1).sortWithinPartitions("value").mapInPandas(_adjacent(False), schema)
-    return found.filter("kind = 'hit'").unionByName(seams).groupBy("value").agg(F.min("goes_on").alias("goes_on"))
+    found = cut(distinct.repartitionByRange(*pieces).sortWithinPartitions("value").mapInPandas(_adjacent(True), schema))
+    hits = found.filter("kind = 'hit'")
+    # Two values a partition, distinct ones: their number falls by a factor of SEAM_TASK / 2 with each pass.
+    edges = found.filter("kind = 'edge'").select("value")
+    n = 2 * found.rdd.getNumPartitions()
+    while n > SEAM_TASK:
+        parts = -(-n // SEAM_TASK)
+        found = cut(edges.distinct().repartitionByRange(parts, *pieces).sortWithinPartitions("value").mapInPandas(_adjacent(True), schema))
+        hits = hits.unionByName(found.filter("kind = 'hit'"))
+        edges = found.filter("kind = 'edge'").select("value")
+        n = 2 * parts
+    seams = edges.repartition(1).sortWithinPartitions("value").mapInPandas(_adjacent(False), schema)
+    return hits.unionByName(seams).groupBy("value").agg(F.min("goes_on").alias("goes_on"))
 
 
 def truncated_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
