@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from typolens.llm.lexicon import FURNITURE, MENU_LABELS
+from typolens.llm.lexicon import COMMON, FURNITURE, MENU_LABELS
 from typolens.llm.tree import Tree, fit_tree
 from typolens.session import spread
 
@@ -34,10 +34,10 @@ def _automaton() -> ahocorasick.Automaton:
     for text in MENU_LABELS.values():
         for label in text.split("|"):
             words[label] = (0, len(label))
-    for text in FURNITURE.values():
+    for text in [*FURNITURE.values(), *COMMON.values()]:
         for line in text.split("\n"):
             for phrase in line.split("|"):
-                if len(phrase.strip()) > 3 or phrase.strip() in ("agb",):
+                if len(phrase.strip()) > 2:
                     words.setdefault(phrase.strip(), (1, len(phrase.strip())))
     for w, v in words.items():
         a.add_word(w, v)

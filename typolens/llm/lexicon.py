@@ -58,3 +58,24 @@ przejdź do treści|do góry|szukaj w sklepie|zaloguj|lista życzeń
 wszelkie prawa zastrzeżone|nota prawna|prywatność|regulamin|wszystkie ceny zawierają podatek|kosztów dostawy|zastrzegamy możliwość pomyłek|przyjmujemy karty|mapa strony|praca|dostępność|zwroty|potrzebujesz pomocy?|nasz dział obsługi czeka
 to może ci się spodobać|popularne kategorie|najczęściej czytane|czytaj więcej|błędów, których można uniknąć|wielki test|zmieniają teraz""",
 }
+
+#: More of the same, as sites in general have it.
+COMMON: dict[str, str] = {
+    "en": """this site uses cookies|uses cookies|use cookies|cookies help us|cookie notice|cookie preferences|manage choices|manage preferences|reject all|decline|agree to our|third-party cookies|personalised ads|show you ads
+advertisement|sponsored|advertise with us|promoted|our partners|affiliate links
+leave a reply|leave a comment|post a comment|add a comment|your email will not be published|required fields are marked|report abuse|join the discussion|comments are closed
+related posts|related stories|related products|recommended for you|more like this|more from|read next|trending now|most popular|most viewed|customers also|people also|also bought|also viewed|others also|older posts|newer posts|previous post|next post|editor's picks|latest news
+mailing list|our newsletter|newsletter|email address|e-mail address|get updates|stay in touch|join our|when you join|when you sign up|free e-book|create an account|sign in|sign up|log out|register now|forgot your password|my orders|download our app|get the app
+follow us|share on|share this|tweet this|email to a friend|whatsapp|pinterest|instagram|youtube|linkedin
+add to cart|add to basket|add to bag|compare|checkout|view cart|item added|free delivery|free shipping|secure payment|day returns|days return|money back|year warranty|track your order|size guide|store finder|find a store|gift wrap
+you are here|skip navigation|toggle navigation|open menu|close menu|menu|change country|change language|select language|language:|currency:
+terms of service|terms and privacy|data protection|legal notice|site map|press office|copyright|reg. no|registered office|registered in|incl. tax|plus shipping|powered by|contact us|customer service|customer care|call us|call our|opening hours|jobs|without permission""",
+    "de": """nutzen cookies|verwendet cookies|cookie-einstellungen|zustimmen|ablehnen|einstellungen verwalten|ihre einwilligung
+anzeige|werbung|gesponsert|kommentar schreiben|kommentar hinterlassen|kommentare|mehr zum thema|ähnliche artikel|ähnliche produkte|weitere artikel|meistgelesen|zuletzt angesehen|kunden kauften auch|wird oft zusammen gekauft
+newsletter|jetzt registrieren|kostenlos registrieren|keinen beitrag|konto anlegen|passwort vergessen|in den warenkorb|zur kasse|vergleichen|kostenloser versand|versandkostenfrei|sichere zahlung|rückgabe|widerrufsrecht|nutzungsbedingungen|teilen auf|per mail senden|drucken|sie sind hier|menü öffnen|menü|kundenservice|hotline|öffnungszeiten|amtsgericht|ust-id|handelsregister|filialfinder|app herunterladen""",
+    "nl": """gebruikt cookies|cookie-instellingen|cookievoorkeuren|akkoord|weigeren|advertentie|gesponsord|reageer|plaats een reactie|reacties|gerelateerde|meer nieuws|anderen bekeken|ook bekeken|vaak samen gekocht|nieuwsbrief|aanmelden|wachtwoord vergessen|wachtwoord vergeten|winkelwagen|vergelijken|gratis verzending|veilig betalen|dagen retour|garantie|deel op|afdrukken|u bent hier|menu|klantenservice|algemene voorwaarden|privacyverklaring|kvk|btw-nummer|download de app""",
+    "fr": """utilise des cookies|utilisons des traceurs|personnaliser|refuser|accepter|publicité|sponsorisé|laisser un commentaire|commentaires|articles similaires|à lire aussi|les plus lus|vus récemment|produits similaires|ont aussi acheté|notre newsletter|lettre d'information|je m'inscris|votre e-mail|mot de passe oublié|créer un compte|ajouter au panier|comparer|livraison gratuite|paiement sécurisé|retours|garantie|partager sur|imprimer|envoyer à un ami|vous êtes ici|menu|service client|conditions générales|conditions d'utilisation|qui sommes-nous|recrutement|rcs|télécharger l'application""",
+    "es": """usamos cookies|utiliza cookies|cookies propias|configurar|rechazar|aceptar|publicidad|patrocinado|deja un comentario|comentarios|noticias relacionadas|artículos relacionados|productos relacionados|lo más visto|vistos recientemente|también compraron|boletín|regístrate|regístrese|tu correo|olvidó su contraseña|crear una cuenta|añadir al carrito|añadir a la cesta|comparar|envío gratis|pago seguro|garantía|compartir en|enviar por correo|imprimir|estás aquí|está aquí|menú|atención al cliente|condiciones de uso|protección de datos|descarga nuestra|todos los precios""",
+    "pt": """usa cookies|utiliza cookies|preferências de cookies|concordo|recusar|aceitar|publicidade|patrocinado|deixe um comentário|comentários|artigos relacionados|notícias relacionadas|produtos relacionados|mais lidas|também viu|também compraram|receba as novidades|subscrever|newsletter|criar conta|esqueceu a senha|adicionar ao carrinho|comparar|entrega grátis|frete grátis|pagamento seguro|trocas|garantia|partilhar no|compartilhar|imprimir|você está aqui|está aqui|menu|apoio ao cliente|fale connosco|termos de uso|política de privacidade|descarregue a""",
+    "pl": """używa ciasteczek|używa plików cookie|zgadzam się|odrzuć|ustawienia|reklama|sponsorowane|dodaj komentarz|komentarze|podobne artykuły|podobne produkty|polecamy|najpopularniejsze|ostatnio oglądane|klienci kupili także|newsletter|zarejestruj|załóż konto|nie pamiętasz hasła|dodaj do koszyka|porównaj|darmowa dostawa|bezpieczne płatności|gwarancja|udostępnij na|drukuj|jesteś tutaj|menu|obsługa klienta|warunki korzystania|ochrona danych|polityka prywatności|redakcja|pobierz aplikację|wszelkie prawa""",
+}
