@@ -114,3 +114,33 @@ def test_evaluation_sample_order_and_usage(spark):
     assert tuple(evaluate.usage_sums(usage).first()) == (8, 3)
     assert {tuple(r) for r in evaluate.usage_sums(usage, ("run",)).collect()} == {("a", 3, 3), ("b", 5, 0)}
     assert tuple(evaluate.usage_sums(usage.limit(0)).first()) == (0, 0)
+
+
+def test_label_progress(spark):
+    from typolens.operators import evaluate
+
+    rows = [("a", "", "baseline_run", "No"), ("a", "brand_direct", "baseline_run+sld_anchor", "Yes"), ("b", None, "sld_anchor", None), ("c", None, "baseline_run", None), (None, "reject", "plan", "Yes")]
+    got = {r["brand"]: tuple(r)[1:] for r in evaluate.label_progress(spark.createDataFrame(rows, "brand string, label string, source string, context_used string")).collect()}
+    assert got == {"a": (2, 1, 1, True), "b": (1, 0, 1, False), "c": (1, 0, 1, True), None: (1, 1, 0, False)}
+
+
+def test_context_of_brands(spark):
+    from typolens.operators import crawl
+
+    contexts = spark.createDataFrame([("www.a.com", "success", "A", None, None), ("b.com", "error", "B", None, None), (None, "success", "N", None, None)], "domain string, status string, title string, meta_description string, main_content string")
+    brands = spark.createDataFrame([("HTTPS://A.com/",), ("b.com",), ("c.com",), (None,)], "brand string")
+    got = {r["brand"]: (r["context"] and r["context"]["title"], r["usable"]) for r in crawl.context_of_brands(brands, contexts).collect()}
+    assert got == {"HTTPS://A.com/": ("A", True), "b.com": ("B", False), "c.com": (None, False), None: (None, False)}
+
+
+def test_steps():
+    from typolens.plans.steps import STEPS, degraded, in_order, preflight
+
+    assert [s.name for s in in_order(["report", "match", "match"])] == ["match", "report"]
+    with pytest.raises(ValueError):
+        in_order(["nope"])
+    there = {"brands", "addresses", "target_dump"}.__contains__
+    assert preflight([s.name for s in STEPS], there) == []
+    assert preflight(["match"], there) == ["match: no keywords"]
+    assert preflight(["generate", "match"], there, lambda x: x != "model provider") == ["generate: no model provider"]
+    assert degraded(["generate"], there) == ["generate: contexts"] and degraded(["crawl", "generate"], there) == []

@@ -114,3 +114,59 @@ def test_stream(spark, tmp_path):
             time.sleep(0.2)
         q.stop()
     assert sorted(r["keyword_misspelling"] for r in spark.read.parquet(out).collect()) == ["amazn.com", "amazom.com"]
+
+
+def test_lines_of_a_table(spark, tmp_path):
+    p = tmp_path / "t.csv"
+    p.write_text('\ufeffa, b ,c\n1,2,3\nshort,2\n"x, ""y""",2,3\n1,2,3,4\n1,2,3,\n"q,r",,"s,t",u\n\n,,\nlast\n', encoding="utf-8")
+    t = readers.read_table(spark, str(p))
+    assert t.columns == ["a", "b", "c", "pos"]
+    assert [tuple(r)[:3] for r in t.orderBy("pos").collect()] == [("1", "2", "3"), ("short", "2", None), ('x, "y"', "2", "3"), (None, None, None), ("last", None, None)]
+    assert [r["a"] for r in readers.read_table(spark, str(p), ["a"]).orderBy("pos").collect()][1] == "short"
+    (tmp_path / "m.csv").write_text('a,b\n"two\nlines",1\n')
+    assert readers.read_table(spark, str(tmp_path / "m.csv"), multi_line=True).first()["a"] == "two\nlines"
+    (tmp_path / "e.csv").write_text("")
+    with pytest.raises(ValueError):
+        readers.read_table(spark, str(tmp_path / "e.csv"))
+
+
+def test_large_tables_are_split(spark, tmp_path):
+    p = tmp_path / "big.csv"
+    p.write_text("address,x\n" + f"{'a' * 480}.com,{'y' * 20}\n" * 100_000)
+    t = readers.read_table(spark, str(p), ["address"])
+    assert t.rdd.getNumPartitions() > 1 and t.count() == 100_000
+
+
+def test_contexts_in_brand_order(spark, tmp_path):
+    brands = spark.createDataFrame([("B.com", 0), ("https://www.a.com/x", 1), ("none.com", 2), ("b.com", 3), (None, 4)], "brand string, pos long")
+    contexts = spark.createDataFrame([("a.com", "A", "success"), ("www.b.com", "B", "success"), ("z.com", None, "error")], "domain string, title string, status string")
+    sinks.write_contexts(brands, contexts, str(tmp_path / "o"))
+    text = "\n".join(r["value"] for r in spark.read.text(str(tmp_path / "o" / "contexts")).collect())
+    assert [r["title"] for r in json.loads(text)] == ["B", "A"]
+    assert [tuple(r) for r in spark.read.option("header", True).csv(str(tmp_path / "o" / "failed")).collect()] == [("none.com", "Failed all crawl methods")]
+    sinks.write_contexts(brands.limit(0), contexts, str(tmp_path / "e"))
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "e" / "contexts")).collect()] == ["[]"]
+
+
+def test_snapshot_and_manifest(spark, tmp_path):
+    got = sinks.snapshot(spark, {"t": spark.range(5)}, str(tmp_path / "s")).collect()
+    assert got and all(len(r["sha256"]) == 64 and r["length"] > 0 for r in got) and spark.read.parquet(str(tmp_path / "s/tables/t")).count() == 5
+    assert sinks.manifest(spark, str(tmp_path / "s" / "tables")).columns == ["path", "length", "modified"]
+
+
+def test_strict_schema():
+    s = {"type": "object", "properties": {"properties": {"type": "array", "items": {"type": "object", "properties": {"b": {"type": "string"}, "a": {"anyOf": [{"type": "object", "properties": {"x": {}}}, {"type": "null"}]}}}}}, "$defs": {"d": {"type": "object", "properties": {"k": {}}}}}
+    out = providers.strict_schema(s)
+    inner = out["properties"]["properties"]["items"]
+    assert out["required"] == ["properties"] and inner["required"] == ["b", "a"] and inner["additionalProperties"] is False
+    assert inner["properties"]["a"]["anyOf"][0]["required"] == ["x"] and out["$defs"]["d"]["additionalProperties"] is False and "required" not in s
+    assert providers.response_format({"type": "object", "properties": {}}, "n")["json_schema"]["strict"]
+
+
+def test_generations_come_back_in_order(spark):
+    body = json.dumps({"keywords": [{"keyword": k, "type": "t", "specificity": "branded", "rationale": ""} for k in ("z", "a", "m")]})
+    rows = spark.createDataFrame([("b.com||1", 200, body), ("b.com||2", 500, body)], "custom_id string, status int, content string")
+    exploded = providers.explode_generations(providers.batch_responses(rows)).repartition(5)
+    got = providers.regroup_generations(exploded).collect()
+    assert [(r["brand"], r["generation"], [k["keyword"] for k in r["keywords"]]) for r in got] == [("b.com", 1, ["z", "a", "m"])]
+    assert providers.regroup_generations(exploded.limit(0)).collect() == []

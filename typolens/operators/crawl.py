@@ -138,3 +138,14 @@ def field_coverage(records: DataFrame, fields: list[str]) -> DataFrame:
         return F.length(strip(F.coalesce(F.col(c).cast("string"), F.lit("")))) > 0
 
     return records.groupBy("source").agg(F.count(F.lit(1)).alias("n"), *[F.round(100.0 * F.count_if(filled(c)) / F.count(F.lit(1)), 1).alias(f"{c}_pct") for c in fields], F.round(F.avg(F.length(F.coalesce("main_content", F.lit("")))), 1).alias("mean_chars"))
+
+
+def context_of_brands(brands: DataFrame, contexts: DataFrame) -> DataFrame:
+    """``brands`` (``brand``) with ``context`` (the record, null: none) and ``usable``, matched by normalised domain.
+
+    Contexts are unique by domain (``read_contexts``); a blank or null domain matches nothing.
+    """
+    record = F.struct(*[F.col(f"`{c}`") for c in contexts.columns]).alias("context")
+    right = contexts.select(normalize_domain(F.col("domain")).alias("__d"), record, has_context().alias("__usable")).filter("__d != ''")
+    left = brands.withColumn("__d", normalize_domain(F.col("brand")))
+    return left.join(right, "__d", "left").withColumn("usable", F.coalesce("__usable", F.lit(False))).drop("__d", "__usable")

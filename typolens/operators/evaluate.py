@@ -57,6 +57,16 @@ def evaluation_order(brand: str = "brand", keyword: str = "keyword", label: str
     return [F.lower(F.col(brand)).asc(), labelled.asc(), F.lower(F.col(keyword)).asc(), F.col(brand).asc(), F.col(keyword).asc()]
 
 
+def label_progress(rows: DataFrame) -> DataFrame:
+    """Per brand ``n, n_labelled, n_open`` and ``fallback``: whether a generated row had no context.
+
+    ``rows`` has ``brand, label, source, context_used``; empty and null labels are open. A null brand is a row.
+    """
+    labelled = F.coalesce(F.col("label"), F.lit("")) != ""
+    bare = F.startswith(F.col("source"), F.lit("baseline")) & ~F.coalesce(F.col("context_used") == "Yes", F.lit(False))
+    return rows.groupBy("brand").agg(F.count(F.lit(1)).alias("n"), F.count_if(labelled).alias("n_labelled"), F.count_if(~labelled).alias("n_open"), F.coalesce(F.max(bare), F.lit(False)).alias("fallback"))
+
+
 def usage_sums(usage: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Sums of ``prompt_tokens`` and ``completion_tokens``; a missing figure counts 0."""
     return usage.groupBy(*by).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("prompt_tokens", "completion_tokens")])

@@ -94,3 +94,31 @@ def batch_responses(rows: DataFrame, schema: str = GENERATION) -> DataFrame:
 def explode_generations(responses: DataFrame) -> DataFrame:
     """``brand, generation, pos, keyword, type, specificity, rationale`` of parsed answers."""
     return responses.select("brand", "generation", F.posexplode("answer.keywords").alias("pos", "k")).select("brand", "generation", F.col("pos").cast("long").alias("pos"), "k.*")
+
+
+def regroup_generations(rows: DataFrame) -> DataFrame:
+    """``brand, generation, keywords``: what :func:`explode_generations` gave, in order of ``pos`` again.
+
+    An answer is a bounded list, as one request yields it. Null brands and generations are groups of their own.
+    """
+    item = F.struct("pos", "keyword", "type", "specificity", "rationale")
+    grouped = rows.groupBy("brand", "generation").agg(F.array_sort(F.collect_list(item)).alias("keywords"))
+    return grouped.withColumn("keywords", F.transform("keywords", lambda k: k.dropFields("pos")))
+
+
+def strict_schema(schema: object) -> object:
+    """A JSON schema whose objects admit and require exactly the properties that they list, at every depth."""
+    if isinstance(schema, list):
+        return [strict_schema(x) for x in schema]
+    if not isinstance(schema, dict):
+        return schema
+    out = {k: strict_schema(v) for k, v in schema.items()}
+    # A property may itself be called "properties": only objects with a table of properties are closed.
+    if out.get("type") == "object" and isinstance(out.get("properties"), dict):
+        out |= {"required": sorted(out["properties"], key=list(out["properties"]).index), "additionalProperties": False}
+    return out
+
+
+def response_format(schema: dict, name: str) -> dict:
+    """The request parameter that binds an answer to a schema."""
+    return {"type": "json_schema", "json_schema": {"name": name, "strict": True, "schema": strict_schema(schema)}}

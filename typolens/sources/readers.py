@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import csv
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,18 +41,38 @@ def require(df: DataFrame, columns: list[str], name: str) -> DataFrame:
     return df
 
 
-def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, columns: list[str] | None = None, multi_line: bool = False) -> DataFrame:
     """A CSV with header, all text: headers trimmed and without byte-order mark, lines with too many fields dropped.
 
-    With ``columns`` only these are kept (the reader prunes the others). The column ``pos`` follows the line order.
+    Lines with too few fields keep nulls for the rest. A large file is split over many tasks, as a record is a line;
+    ``multi_line`` reads files whose quoted fields hold line feeds, a task per file. With ``columns`` only these are kept.
+    The column ``pos`` follows the line order. A file without lines has no header and is refused.
     """
-    raw = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).option("mode", "DROPMALFORMED").csv(path)
-    named = raw.select(*[F.col(f"`{c}`").alias(c.lstrip("﻿").strip()) for c in raw.columns])
+    options = {"quote": '"', "escape": '"'}
+    if multi_line:
+        raw = spark.read.options(header=True, multiLine=True, mode="DROPMALFORMED", **options).csv(path)
+        named = raw.select(*[F.col(f"`{c}`").alias(_header(c)) for c in raw.columns])
+    else:
+        lines = spark.read.text(path)
+        first = lines.first()
+        if first is None:
+            raise ValueError(f"{path} has no header")
+        names = [_header(c) for c in next(csv.reader([first[0]]))]
+        schema = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(len(names))])
+        # Commas outside quotes; a doubled quote inside a field pairs up with itself.
+        fields = F.length(F.regexp_replace(F.regexp_replace("value", '"[^"]*"', ""), "[^,]", "")) + 1
+        kept = lines.filter((F.col("value") != first[0]) & (F.trim("value") != "") & (fields <= len(names)))
+        parsed = kept.select(F.from_csv("value", schema.simpleString()[len("struct<") : -1].replace(":", " "), options).alias("r"))
+        named = parsed.select(*[F.col(f"r._{i}").alias(c) for i, c in enumerate(names)])
     if columns:
         named = require(named, columns, path).select(*columns)
     return named.withColumn("pos", F.monotonically_increasing_id())
 
 
+def _header(name: str) -> str:
+    return name.lstrip("\ufeff").strip()
+
+
 def first_by(df: DataFrame, key: Column, order: str = "pos") -> DataFrame:
     """The first row of each key by order; rows without key are dropped."""
     cols = df.columns
@@ -70,9 +90,16 @@ def read_inventory(spark: SparkSession, path: str, column: str = "address") -> D
     return require(read_table(spark, path), [column], path).withColumn(column, as_null(F.col(column)))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists on the file system that the path names."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_popular(spark: SparkSession, path: str) -> DataFrame:
     """``domain`` of lines ``rank,domain``; a missing file is an empty list."""
-    if not path.startswith(("hdfs:", "s3", "gs:", "file:")) and not os.path.exists(path):
+    if not exists(spark, path):
         return spark.createDataFrame([], "domain string")
     lines = spark.read.text(path).filter(F.contains("value", F.lit(",")))
     return lines.select(F.lower(F.trim(F.element_at(F.split("value", ","), -1))).alias("domain")).filter("domain != ''").distinct()
