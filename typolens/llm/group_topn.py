@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: A group with more rows than this is heavy, and so many rows of it make a salt.
 LIGHT_ROWS = 20_000
@@ -18,8 +17,9 @@ def top_n_per_group(df: DataFrame, group: str, n: int, order: list[Column], dist
     """The first ``n`` rows of every ``group`` by ``order``, at most one per value of ``distinct``, with ``rank``.
 
     Exact group counts (partially aggregated) split the groups: light groups go through one exchange on the group and
-    ordinary windows; a heavy group's rows are spread over as many salts as it has ``light_rows``, by the hash of
-    ``distinct`` (or of all columns), and range-partitioned by group and salt; each range is sorted and cut to ``n``, and
+    ordinary windows; the rows of heavy groups are spread over as many salts as the largest one has ``light_rows``, by the
+    hash of ``distinct`` (or of all columns), and range-partitioned by group and salt, so that small pieces share a task;
+    each range is sorted and cut to ``n``, and
     only those survivors meet in the final window. ``order`` must be total for a reproducible result. A null group is no
     group. Groups with fewer than ``n`` items are returned whole; ``n`` below 1 and empty tables give no rows; extra
     columns are kept.
@@ -36,12 +36,12 @@ def top_n_per_group(df: DataFrame, group: str, n: int, order: list[Column], dist
 
     if not heavy:
         return best(rows.repartition(group), [group])
-    kind = df.schema[group]
-    salts = F.broadcast(df.sparkSession.createDataFrame(heavy, T.StructType([kind, T.StructField("__salts", T.LongType())])))
-    names = salts.select(group)
-    light = best(rows.join(F.broadcast(names), group, "left_anti").select(*df.columns).repartition(group), [group])
+    # A list in the filter reaches the scan: what only the other half needs is not worked out for a row.
+    is_heavy = F.col(group).isin([g for g, _ in heavy])
+    light = best(rows.filter(~is_heavy).repartition(group), [group])
     spot = F.xxhash64(distinct) if distinct else F.xxhash64(*df.columns)
-    hot = rows.join(salts, group).withColumn("__salt", F.pmod(spot, F.col("__salts"))).select(*df.columns, "__salt")
+    salts = max(n for _, n in heavy)
+    hot = rows.filter(is_heavy).withColumn("__salt", F.pmod(spot, F.lit(salts)))
     # The windows below are clustered by these columns already: nothing is exchanged between them.
     local = best(hot.repartitionByRange(group, "__salt"), [group, "__salt"]).select(*df.columns)
     return light.unionByName(local.withColumn("rank", first([group])).filter(F.col("rank") <= n))
