@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from typolens.llm.mixture import DEFAULT_TOKENIZER, count_tokens, mix_sources, mixture_shares, plan_budgets
+from typolens.llm.mixture import BINS, DEFAULT_TOKENIZER, _edge, count_tokens, mix_sources, mixture_shares, plan_budgets, quality_weight, sampling_key
 
 pytestmark = pytest.mark.skipif(not os.path.exists(DEFAULT_TOKENIZER), reason="no tokenizer file")
 
@@ -43,3 +43,25 @@ def test_token_counts(spark):
     got = count_tokens(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string"), "text").collect()
     assert [r["n_tokens"] for r in sorted(got)] == [len(enc.encode_ordinary(t)) if t else 0 for t in texts]
     assert enc.decode(enc.encode_ordinary(texts[0])) == texts[0]
+
+
+def test_selection_is_a_prefix_by_key_whatever_the_weights(spark):
+    """Texts of figures have the least weight, and their keys still spread over the bins."""
+    text = F.when(F.col("id") % 2 == 0, F.concat(F.lit("1 2 3 "), F.col("id").cast("string"))).otherwise(F.concat(F.lit("a longer text of words "), F.col("id").cast("string")))
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), text.alias("text"), F.when(F.col("id") < 2900, "a").otherwise("b").alias("source"))
+    goals = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 2)], "source string, target_share double, max_repeats int")
+    used = {r["doc_id"] for r in mix_sources(docs, goals, total_tokens=2000).collect() if r["source"] == "a"}
+    keyed = docs.filter("source = 'a'").select("doc_id", sampling_key(F.col("doc_id"), quality_weight(F.col("text")), 1).alias("key"), "text")
+    rows = sorted((r["key"], r["doc_id"], r["n_tokens"]) for r in count_tokens(keyed, "text").collect())
+    want, total = set(), 0
+    for _, i, n in rows:
+        total += n
+        if total > 1000:
+            break
+        want.add(i)
+    assert used == want and 0 < len(want) < 2900
+
+
+def test_edges():
+    assert _edge([(3, 10), (7, 5)], 0) == (3, 0) and _edge([(3, 10), (7, 5)], 10) == (7, 0) and _edge([(3, 10), (7, 5)], 12) == (7, 2) and _edge([(3, 10), (7, 5)], 15) == (8, 0)
+    assert BINS == 4096

@@ -24,7 +24,10 @@ from typolens.session import cut, spread
 DEFAULT_TOKENIZER = os.environ.get("TYPOLENS_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 #: Word split of the byte-level BPE (public).
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-BINS = 4096
+BIN_BITS = 12
+BINS = 1 << BIN_BITS
+#: Powers of two that the bins span, four fifths of them below 1; keys beyond them count as the first or last.
+OCTAVES = 64
 _ENCODINGS: dict[int, object] = {}
 
 
@@ -88,8 +91,9 @@ def mix_sources(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", tex
 
     ``targets`` (``source, target_share, max_repeats``) is a table of source names and read by the driver; so are the
     token sums per source and key bin (``BINS`` a source at most), nothing else. Within a source the keys are counted in
-    bins of the selection probability; bins before the one in which the budget ends are taken whole, and only that one
-    (about 1 / ``BINS`` of a source) is sorted and prefix-summed, so a source with most rows needs no large sort. The
+    bins of their logarithm, and those of the bin in which the budget ends once more in finer ones. Bins before are taken
+    whole, and only the last fine bin (less than a millionth of a large source, whatever the weights) is sorted and
+    prefix-summed, so a source with most rows needs no large sort. The
     last document is the one that reaches the budget only if it fits. Sources are compared in their clean spelling;
     null, empty and unknown sources and documents without tokens are left out; equal keys go by id.
     """
@@ -99,32 +103,45 @@ def mix_sources(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", tex
     base = docs.select(F.col(id_col).alias("doc_id"), source.alias("source"), F.col(text_col).alias("text")).filter(F.col("source").isin(names) & (F.length("text") > 0))
     keyed = base.select("doc_id", "source", sampling_key(F.col("doc_id"), quality_weight(F.col("text")), seed).alias("key"), "text")
     slim = cut(count_tokens(keyed, "text", tokenizer).filter("n_tokens > 0"))
-    # The bin of a key: weights lie in (0, 1], so 1 - exp(-key / 2) spreads the keys over (0, 1).
-    slim = slim.withColumn("bin", F.floor((1 - F.exp(-F.col("key") / 2)) * BINS).cast("int"))
-    bins: dict[str, list[tuple[int, int]]] = {}
-    for r in slim.groupBy("source", "bin").agg(F.sum("n_tokens").alias("n")).collect():
-        bins.setdefault(r["source"], []).append((r["bin"], r["n"]))
+    # Bins of equal width in the logarithm of the key, so that documents of any weight spread over many of them.
+    place = F.least(F.lit(BINS - 1e-6), F.greatest(F.lit(0.0), (F.log2("key") + OCTAVES * 0.8) * (BINS / OCTAVES)))
+    slim = slim.withColumn("fine", F.floor(place * BINS).cast("long"))
+    bins = _sums(slim, F.shiftright(F.col("fine"), BIN_BITS))
     plan = plan_budgets([(s, sum(n for _, n in b)) for s, b in bins.items()], goals, total_tokens)
+    # The bin in which each budget ends, then the one inside it.
+    edges = {s: _edge(bins[s], rest) for s, (_, rest, _) in plan.items()}
+    inside = slim.filter(F.struct("source", F.shiftright(F.col("fine"), BIN_BITS)).isin([F.struct(F.lit(s), F.lit(e).cast("long")) for s, (e, _) in edges.items()])) if edges else slim.limit(0)
+    finer = _sums(inside, F.col("fine"))
     rows = []
-    for s, (epochs, rest, _) in plan.items():
-        before = 0
-        edge = -1
-        for b, n in sorted(bins[s]):
-            edge = b
-            if before + n > rest:
-                break
-            before += n
-        else:
-            edge += 1
-        rows.append((s, epochs, edge, rest - before))
-    limits = slim.sparkSession.createDataFrame(rows, "source string, epochs int, edge int, room long")
+    for s, (epochs, _, _) in plan.items():
+        edge, room = edges[s]
+        fine, room = _edge(finer[s], room) if s in finer else (edge << BIN_BITS, room)
+        rows.append((s, epochs, fine, room))
+    limits = slim.sparkSession.createDataFrame(rows, "source string, epochs int, edge long, room long")
     joined = slim.join(F.broadcast(limits), "source")
     inner = W.partitionBy("source").orderBy("key", "doc_id").rowsBetween(W.unboundedPreceding, 0)
-    at_edge = joined.filter("bin = edge").withColumn("once_more", (F.sum("n_tokens").over(inner) <= F.col("room")).cast("int"))
-    rest = joined.filter("bin != edge").withColumn("once_more", (F.col("bin") < F.col("edge")).cast("int"))
+    at_edge = joined.filter("fine = edge").withColumn("once_more", (F.sum("n_tokens").over(inner) <= F.col("room")).cast("int"))
+    rest = joined.filter("fine != edge").withColumn("once_more", (F.col("fine") < F.col("edge")).cast("int"))
     return rest.unionByName(at_edge).withColumn("n_uses", F.col("epochs") + F.col("once_more")).filter("n_uses > 0").select("doc_id", "source", "n_tokens", "n_uses")
 
 
+def _sums(rows: DataFrame, bin_: Column) -> dict[str, list[tuple[int, int]]]:
+    """Tokens of each bin by source, in order: at most ``BINS`` rows a source."""
+    out: dict[str, list[tuple[int, int]]] = {}
+    for r in rows.groupBy("source", bin_.alias("b")).agg(F.sum("n_tokens").alias("n")).collect():
+        out.setdefault(r["source"], []).append((r["b"], r["n"]))
+    return {s: sorted(b) for s, b in out.items()}
+
+
+def _edge(bins: list[tuple[int, int]], budget: int) -> tuple[int, int]:
+    """The bin in which a budget ends (the one behind the last if it does not), and what is left of the budget there."""
+    for b, n in bins:
+        if n > budget:
+            return b, budget
+        budget -= n
+    return bins[-1][0] + 1, budget
+
+
 def mixture_shares(mixture: DataFrame, targets: DataFrame) -> DataFrame:
     """``source, target_share, n_docs, n_tokens, share, max_uses`` reached by the mixture; unused sources have zeros."""
     goal = targets.select(clean_source(F.col("source")).alias("source"), "target_share")
