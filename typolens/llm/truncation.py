@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from typolens.functions.domains import let
 from typolens.session import cut, spread
 
 #: Marks of omission that systems append to a cut text.
@@ -92,13 +93,19 @@ def ending(text: Column) -> Column:
     )
 
 
+#: Characters that hold any mark of omission once white space is collapsed, but for dots, of which any number may stand.
+MARK_CHARS = 32
+
+
 def _bare(text: Column) -> Column:
     """White space collapsed, marks of omission and half characters at the end dropped: what a longer copy starts with.
 
     Half mark-up stays, as the longer copy has the same half.
     """
-    t = F.trim(F.regexp_replace(text, r"[\s\u00a0]+", " "))
-    return F.regexp_replace(F.when(t.rlike("[….\\])»eE\ufffd]$"), F.regexp_replace(t, OMISSION, "")).otherwise(t), "\ufffd+$", "")
+    # The pattern finds only what differs from one blank, so clean text is read but not copied.
+    t = F.trim(F.regexp_replace(text, r"[\s\u00a0]{2,}|[\t\n\r\f\u000b\u00a0]", " "))
+    t = F.when(F.endswith(t, F.lit("...")), F.rtrim(t, F.lit(" ."))).otherwise(t)
+    return let(t, lambda v: F.rtrim(F.concat(F.left(v, F.length(v) - MARK_CHARS), F.regexp_replace(F.right(v, F.lit(MARK_CHARS)), OMISSION, "")), F.lit("\ufffd")))
 
 
 def _adjacent(edges: bool):
