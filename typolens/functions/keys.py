@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: All Unicode white space, spelled out because ``\s`` differs between regex engines.
-WHITE = r"\t-\r\x1c-\x1f \x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-BOM = r"\x{feff}"
+#: All Unicode white space, spelled out because engines differ in what they count as such.
+WHITE = "".join(map(chr, [*range(9, 14), *range(0x1C, 0x20), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+BOM = "\ufeff"
 
 
 def strip(c: Column) -> Column:
-    """Drop surrounding white space of any kind."""
-    return F.regexp_replace(c, f"^[{WHITE}]+|[{WHITE}]+$", "")
+    """Drop surrounding white space of any kind. Looks at the ends only, unlike a pattern."""
+    return F.trim(c, F.lit(WHITE))
 
 
 def clean_value(c: Column) -> Column:
@@ -26,13 +26,13 @@ def reference_key(c: Column) -> Column:
 
     ``www.`` is part of the key. Null, empty and ``nan`` are no references and give null.
     """
-    v = F.lower(F.regexp_replace(c, f"^[{WHITE}{BOM}]+|[{WHITE}]+$", ""))
-    return F.when((v != "") & (v != "nan"), v)
+    v = F.lower(F.rtrim(F.ltrim(c, F.lit(WHITE + BOM)), F.lit(WHITE)))
+    return F.when(~v.isin("", "nan"), v)
 
 
 def dump_key(c: Column) -> Column:
     """The target-dump normalisation: byte-order marks first, then white space, then case; ``""`` is kept."""
-    return F.lower(strip(F.regexp_replace(c, f"^{BOM}+", "")))
+    return F.lower(strip(F.ltrim(c, F.lit(BOM))))
 
 
 def normalize_domain(c: Column) -> Column:
@@ -41,7 +41,6 @@ def normalize_domain(c: Column) -> Column:
     The texts ``nan`` and blank give ``""``; null stays null.
     """
     v = F.lower(strip(c))
-    v = F.when(v == "nan", F.lit("")).otherwise(v)
-    v = F.regexp_replace(v, "^.*?://", "")
-    v = F.regexp_replace(v, "(?s)/.*$", "")
-    return F.regexp_replace(v, "^www\\.", "")
+    v = F.when(v == "nan", F.lit("")).when(F.contains(v, F.lit("://")), F.regexp_replace(v, "^.*?://", "")).otherwise(v)
+    v = F.substring_index(v, "/", 1)
+    return F.when(F.startswith(v, F.lit("www.")), F.substring(v, 5, 1 << 30)).otherwise(v)
