@@ -67,3 +67,19 @@ def test_key_spellings(spark):
     rows = [("﻿ Www.X.com ",), ("nan",), ("  ",), (None,), (" y.COM\t",)]
     got = [r[0] for r in spark.createDataFrame(rows, "c string").select(reference_key(F.col("c"))).collect()]
     assert got == ["www.x.com", None, None, None, "y.com"]
+
+
+def test_integer_runs_and_orphans(spark):
+    from typolens.operators.orphans import integer_orphans, integer_runs
+
+    r = random.Random(3)
+    parents = [r.randrange(-300, 300) for _ in range(400)] + list(range(60_000, 70_000)) + [2**40, None]
+    refs = [(i, r.choice([r.randrange(-400, 400), r.randrange(59_990, 70_010), 2**40, 2**40 + 1, None]), "x") for i in range(800)]
+    p = spark.createDataFrame([(k,) for k in parents], "key long").repartition(5)
+    d = spark.createDataFrame(refs, "row_id long, key long, run_end string")
+    runs = sorted(tuple(x) for x in integer_runs(p).collect())
+    keys = sorted({k for k in parents if k is not None})
+    assert {k for a, b in runs for k in range(a, b + 1)} == set(keys) and all(b + 1 < c for (_, b), (c, _) in zip(runs, runs[1:]))
+    got = sorted(x["row_id"] for x in integer_orphans(d, p).collect())
+    assert got == [i for i, k, _ in refs if k is not None and k not in set(keys)]
+    assert integer_orphans(d, p.limit(0)).count() == sum(k is not None for _, k, _ in refs) and integer_orphans(d.limit(0), p).collect() == []

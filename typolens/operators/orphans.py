@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from typolens.operators.targets import with_ordinal
+
 ALWAYS = "timestamp_ntz'9999-12-31 23:59:59.999999'"
 NEVER = "timestamp_ntz'0001-01-01 00:00:00'"
 _NO_TIME = "timestamp_ntz'9999-12-31 23:59:59.999998'"
@@ -90,3 +92,36 @@ def orphans_by_period(orphans: DataFrame) -> DataFrame:
     """Orphan counts per table, field, month and reason; references without a time have a null month."""
     month = F.date_format(F.col("ref_at"), "yyyy-MM")
     return orphans.groupBy("table_name", "ref_field", month.alias("month"), "reason").agg(F.count(F.lit(1)).alias("n_orphans"))
+
+
+#: Keys of one block of runs: a power of two. A run counts once in each block that it covers.
+BLOCK_BITS = 16
+
+
+def integer_runs(parents: DataFrame, key: str = "key") -> DataFrame:
+    """``run_start, run_end``: the distinct integer keys compressed into contiguous runs; nulls are no keys.
+
+    Keys are numbered in order by a range sort. Along a run the key less its number stays the same, so one aggregation
+    finds the runs, and a table of a billion consecutive keys becomes one row.
+    """
+    keys = parents.select(F.col(key).cast("long").alias("k")).filter("k IS NOT NULL").distinct()
+    numbered = with_ordinal(keys, ["k"])
+    return numbered.groupBy((F.col("k") - F.col("ordinal")).alias("g")).agg(F.min("k").alias("run_start"), F.max("k").alias("run_end")).drop("g")
+
+
+def integer_orphans(refs: DataFrame, parents: DataFrame, key: str = "key", parent_key: str = "key") -> DataFrame:
+    """The rows of ``refs`` whose integer ``key`` no row of ``parents`` has, with all their columns.
+
+    Each distinct reference is matched as-of to the preceding run start, block by block of the key range, and lies beyond
+    the run's end or is met. Null keys are no references; repeated references are all reported; without parents every
+    reference is an orphan. Keys are made distinct before the match, so a frequent one costs a row.
+    """
+    block = lambda c: F.shiftright(c, BLOCK_BITS)
+    runs = integer_runs(parents, parent_key).select(F.explode(F.sequence(block(F.col("run_start")), block(F.col("run_end")))).alias("block"), "run_start", "run_end")
+    runs = runs.select("block", F.greatest("run_start", F.shiftleft("block", BLOCK_BITS)).alias("at"), F.lit(0).alias("kind"), "run_end")
+    asked = refs.select(F.col(key).cast("long").alias("at")).filter("at IS NOT NULL").distinct()
+    asked = asked.select(block(F.col("at")).alias("block"), "at", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("run_end"))
+    w = W.partitionBy("block").orderBy("at", "kind").rowsBetween(W.unboundedPreceding, 0)
+    met = runs.unionByName(asked).withColumn("run_end", F.last("run_end", ignorenulls=True).over(w)).filter("kind = 1")
+    orphans = met.filter("run_end IS NULL OR at > run_end").select(F.col("at").alias("__orphan"))
+    return refs.join(orphans, F.col(key).cast("long") == F.col("__orphan"), "left_semi")

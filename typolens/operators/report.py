@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from typolens.functions.keys import strip
+from typolens.operators.targets import with_ordinal
 
 #: Order of tiers; unknown tiers come last. Fixed values.
 TIERS = {"brand_core": 0, "branded": 1, "category_strong": 2}
@@ -62,15 +63,23 @@ def popular_flag(rows: DataFrame, popular: DataFrame, domain: Column) -> DataFra
     return marked.withColumn("is_popular", F.coalesce("__hit", F.lit(False))).drop("__d", "__hit")
 
 
-def grouped_markdown(rows: DataFrame) -> DataFrame:
-    """``brand, keyword, specificity, table``: one Markdown table per brand, keyword and tier.
+#: Lines of one part of a Markdown table.
+PART_LINES = 1_000
 
-    Rows inside a table are in address order; null tiers have no table. A table is part of a document for readers and
-    holds the rows of one keyword.
+
+def grouped_markdown(rows: DataFrame, part_lines: int = PART_LINES) -> DataFrame:
+    """``brand, keyword, specificity, part, table``: Markdown tables per brand, keyword and tier, in parts.
+
+    Lines are in order of address and of their text. All lines are numbered through by a range sort, and every
+    ``part_lines`` of them begin a new part, so a part is bounded and no group meets in one task, however many rows it has.
+    The first part of a table has its head. Null brands, keywords and tiers have no table.
     """
     cell = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     line = F.concat(F.lit("| "), F.concat_ws(" | ", *[cell(c) for c in ("keyword_misspelling", "visits", "final_score", "match_type")]), F.lit(" |"))
-    head = "| misspelling | visits | score | match |\n|---|---|---|---|\n"
-    kept = rows.filter("brand IS NOT NULL AND keyword IS NOT NULL AND specificity IS NOT NULL")
-    grouped = kept.groupBy("brand", "keyword", "specificity").agg(F.sort_array(F.collect_list(F.struct(F.col("keyword_misspelling"), line.alias("line")))).alias("l"))
-    return grouped.select("brand", "keyword", "specificity", F.concat(F.lit(head), F.array_join(F.transform("l", lambda x: x["line"]), "\n")).alias("table"))
+    kept = rows.filter("brand IS NOT NULL AND keyword IS NOT NULL AND specificity IS NOT NULL").select("brand", "keyword", "specificity", "keyword_misspelling", line.alias("line"))
+    numbered = with_ordinal(kept, ["brand", "keyword", "specificity", "keyword_misspelling", "line"])
+    group = ["brand", "keyword", "specificity"]
+    parts = numbered.groupBy(*group, F.floor(F.col("ordinal") / part_lines).alias("p")).agg(F.array_sort(F.collect_list(F.struct("ordinal", "line"))).alias("l"))
+    parts = parts.withColumn("part", F.row_number().over(W.partitionBy(*group).orderBy("p")))
+    head = F.when(F.col("part") == 1, "| misspelling | visits | score | match |\n|---|---|---|---|\n").otherwise("")
+    return parts.select(*group, "part", F.concat(head, F.array_join(F.transform("l", lambda x: x["line"]), "\n")).alias("table"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from typolens.functions.keys import clean_value, normalize_domain, reference_key
 from typolens.operators.dataset_diff import diff_copies
 from typolens.operators.hot_keys import heavy_keys, key_results
-from typolens.operators.orphans import orphan_references, orphans_by_period
+from typolens.operators.orphans import integer_orphans, orphan_references, orphans_by_period
 from typolens.session import table
 
 GOLDEN_FIELDS = ["domain", "status", "source", "lang", "title", "content_chars", "error", "crawled_at"]
@@ -38,6 +38,12 @@ def p4_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphans_by_period(orphan_references(*_references(spark, sf_dir)))
 
 
+def p4_integer_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders none of whose lines was returned, by runs of integer keys."""
+    returned = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'")
+    return integer_orphans(table(spark, sf_dir, "orders").select("o_orderkey"), returned, "o_orderkey", "l_orderkey")
+
+
 def _match_keys() -> dict:
     return {f: clean_value(F.col(f)) for f in ("brand", "keyword")}
 
@@ -107,7 +113,7 @@ def _p5_sql() -> str:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p4_found, p4_by_month, p5_found, p5_key_results)}
+    return {f.__name__: f for f in (p1_found, p4_found, p4_by_month, p4_integer_keys, p5_found, p5_key_results)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -115,6 +121,7 @@ def oracle_sql() -> dict[str, str]:
         "p1_found": _p1_sql(),
         "p4_found": _p4_refs_sql() + "select table_name, row_id, ref_field, reason from orphans",
         "p4_by_month": _p4_refs_sql() + "select table_name, ref_field, strftime(ref_at, '%Y-%m') as month, reason, count(*) as n_orphans from orphans group by all",
+        "p4_integer_keys": "select o_orderkey from orders where not exists (select 1 from lineitem where l_orderkey = o_orderkey and l_returnflag = 'R')",
         "p5_found": _p5_sql() + " select field_name, key_value from k where key_value is not null group by all having count(*) >= 0.02 * (select count(*) from match_rows)",
         "p5_key_results": _p5_sql() + """,
 v as (select field_name, key_value, s, row_number() over (partition by field_name, key_value order by s) as rn, count(*) over (partition by field_name, key_value) as c from k where key_value is not null and s is not null and not isnan(s)),

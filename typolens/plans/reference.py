@@ -267,10 +267,10 @@ def multi_feed_addresses(spark: SparkSession, d: str) -> DataFrame:
     return targets.multi_feed_addresses(_lookup(spark, d)[1])
 
 
-@_query("""with f as (select trim(target_id) as target_id, feed, row_number() over (partition by trim(target_id) order by dump_no desc) as r from target_dump where trim(target_id) <> '')
+@_query("""with f as (select trim(target_id) as target_id, feed, row_number() over (partition by trim(target_id) order by dump_no desc) as r from target_dump where trim(target_id) <> '' and feed is not null)
 select t.row_id, t.target_id, coalesce(f.feed, '') as feed from target_data t left join f on f.target_id = t.target_id and f.r = 1""")
 def feed_enrich(spark: SparkSession, d: str) -> DataFrame:
-    ids = table(spark, d, "target_dump").select("target_id", "feed", F.col("dump_no").alias("pos"), F.lit("Domain").alias("traffic_type"))
+    ids = table(spark, d, "target_dump").select("target_id", "feed", F.col("dump_no").alias("pos"), F.when(F.col("feed").isNull(), "Search").otherwise(" Domain").alias("traffic_type"))
     return targets.enrich_feed(table(spark, d, "target_data").select("row_id", "target_id"), targets.feed_by_id(ids)).select("row_id", "target_id", "feed")
 
 
@@ -323,7 +323,14 @@ def cut_histogram(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("match_type", "is_popular").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("brand").alias("n_brands"))
 
 
-@_query()
+_CELLS = ", ' | ', ".join(f"coalesce(cast({c} as varchar), '')" for c in ("keyword_misspelling", "visits", "final_score", "match_type"))
+
+
+@_query(f"""with {_BEST}, {_JOINED}, n as (select *, row_number() over (order by brand, keyword, specificity, keyword_misspelling nulls first, line) - 1 as o from
+  (select brand, keyword, specificity, keyword_misspelling, concat('| ', {_CELLS}, ' |') as line from joined where brand is not null and keyword is not null and specificity is not null)),
+p as (select brand, keyword, specificity, o // 1000 as p, string_agg(line, chr(10) order by o) as t from n group by all),
+q as (select *, row_number() over (partition by brand, keyword, specificity order by p) as part from p)
+select brand, keyword, specificity, cast(part as integer) as part, case when part = 1 then '| misspelling | visits | score | match |' || chr(10) || '|---|---|---|---|' || chr(10) else '' end || t as table from q""".replace("as table from q", 'as "table" from q'))
 def grouped_markdown(spark: SparkSession, d: str) -> DataFrame:
     return report.grouped_markdown(_joined(spark, d))
 
@@ -459,7 +466,14 @@ def best_homepage(spark: SparkSession, d: str) -> DataFrame:
     return crawl.best_homepage(_pages(spark, d).filter("status = 'success'"), F.col("crawled_at").desc(), host, F.col("page_id")).select("host", "page_id")
 
 
-@_query()
+_LINE = lambda label, v: f"case when {sql_strip(f'coalesce({v}, {chr(39) * 2})')} <> '' then '{label}: ' || {sql_strip(f'coalesce({v}, {chr(39) * 2})')} end"
+_LIST = lambda c: f"array_to_string(list_filter({c}, lambda x: x is not null and x <> ''), ', ')"
+_WIKI = "case when wikidata is not null then concat(coalesce(wikidata.name, ''), ' | ', coalesce(wikidata.description, ''), ' | aliases: ', coalesce(array_to_string(wikidata.aliases, ', '), '')) end"
+_SUBS = f"nullif(array_to_string([concat('subpage[', coalesce(s.title, ''), ']: ', {sql_strip("coalesce(s.text, '')[1:600]")}) for s in coalesce(subpages, [])[1:2] if {sql_strip("coalesce(s.text, '')")} <> ''], chr(10)), '')"
+_CONTEXT = "concat_ws(chr(10), " + ", ".join([*(_LINE(c, c) for c in ("site_name", "title", "meta_description", "meta_keywords", "lang")), _LINE("h1", _LIST("h1_headings")), _LINE("h2", _LIST("h2_headings")), _LINE("nav", _LIST("nav_links")), _LINE("json_ld", "json_ld_summary"), _LINE("wikidata", _WIKI), _SUBS, _LINE("content", "coalesce(main_content, '')[1:2500]")]) + ")"
+
+
+@_query(f"select page_id, {_CONTEXT} as context from crawl_pages where status is not distinct from 'success' and length({sql_strip(_TEXT)}) > 0")
 def context_blocks(spark: SparkSession, d: str) -> DataFrame:
     return _pages(spark, d).filter(crawl.has_context()).select("page_id", crawl.context_block().alias("context"))
 
@@ -475,9 +489,13 @@ def field_coverage(spark: SparkSession, d: str) -> DataFrame:
     return crawl.field_coverage(_pages(spark, d), ["title", "main_content", "nav_links", "wikidata"])
 
 
-@_query()
+_IDENTITY = "|".join(f"(?:{p})" for p in crawl.IDENTITY_PATHS)
+
+
+@_query(f"select page_id, array_to_string(links, chr(10)) as links from (select page_id, list_filter(internal_links, lambda u: regexp_matches(lower(split_part(u, '?', 1)), '{_IDENTITY}'))[1:2] as links from crawl_pages) where len(links) > 0")
 def identity_links(spark: SparkSession, d: str) -> DataFrame:
-    return _pages(spark, d).select("page_id", crawl.identity_links(F.col("internal_links")).alias("links")).filter("size(links) > 0")
+    found = _pages(spark, d).select("page_id", crawl.identity_links(F.col("internal_links")).alias("links")).filter("size(links) > 0")
+    return found.withColumn("links", F.array_join("links", "\n"))
 
 
 @_query(f"select domain, s || '://' || w || domain || t as url from (select distinct {sql_domain('domain')} as domain from golden_base where domain is not null), (values ('https'), ('http')) a(s), (values (''), ('www.')) b(w), (values (''), ('/')) c(t)")
@@ -535,7 +553,14 @@ def eval_sample(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.sample_brands(table(spark, d, "brand_keywords").select("vertical", F.col("brand_domain").alias("brand")).filter("brand IS NOT NULL"), 5)
 
 
-@_query()
+_SLD_OF_BRAND = _SLD_OF_KW.replace("keyword", "brand_domain")
+
+
+@_query(f"""with r as (select brand_domain as brand, keyword, '' as label, 0 as i, 'baseline' as source from brand_keywords where brand_domain is not null and keyword is not null
+  union all select distinct brand_domain, {_SLD_OF_BRAND}, 'brand_direct', 1, 'anchor' from brand_keywords where brand_domain is not null and keyword is not null),
+k as (select *, lower({sql_strip('brand')}) as b, lower({sql_strip('keyword')}) as k from r),
+f as (select *, row_number() over (partition by b, k order by i, brand, keyword) as n from k)
+select max(brand) filter (n = 1) as brand, max(keyword) filter (n = 1) as keyword, case when count(distinct i) = 2 then 'baseline+anchor' else min(source) end as source, max(label) as label from f group by b, k""")
 def eval_upsert(spark: SparkSession, d: str) -> DataFrame:
     k = table(spark, d, "brand_keywords").withColumnRenamed("brand_domain", "brand").filter("brand IS NOT NULL AND keyword IS NOT NULL")
     own = k.select("brand", registrable_sld(F.col("brand")).alias("keyword"), F.lit("brand_direct").alias("label")).distinct()

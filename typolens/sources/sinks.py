@@ -41,8 +41,8 @@ def write_reports(rows: DataFrame, reason: Column, path: str) -> None:
 
 def write_markdown(tables: DataFrame, path: str) -> None:
     """The grouped tables in brand order as text."""
-    head = F.concat(F.lit("## "), F.col("brand"), F.lit("\n### "), F.col("keyword"), F.lit("  `"), F.col("specificity"), F.lit("`\n"))
-    tables.orderBy("brand", "keyword", "specificity").select(F.concat(head, F.col("table"), F.lit("\n")).alias("value")).write.mode("overwrite").text(path)
+    head = F.when(F.col("part") > 1, "").otherwise(F.concat(F.lit("## "), F.col("brand"), F.lit("\n### "), F.col("keyword"), F.lit("  `"), F.col("specificity"), F.lit("`\n")))
+    tables.orderBy("brand", "keyword", "specificity", "part").select(F.concat(head, F.col("table"), F.lit("\n")).alias("value")).write.mode("overwrite").text(path)
 
 
 def write_contexts(brands: DataFrame, contexts: DataFrame, path: str, reason: str = "Failed all crawl methods") -> None:
