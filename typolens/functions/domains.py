@@ -36,13 +36,18 @@ def domain_parts(host: Column, suffixes: list[str] | None = None) -> Column:
         return let(F.left(h, F.length(h) - F.length(suffix) - 1), lambda rest: let(F.substring_index(rest, ".", -1), lambda label: at_label(rest, label)))
 
     def longest(h: Column) -> Column:
-        ends = lambda n: let(F.substring_index(h, ".", -n), lambda s: F.when(s.isin(known[n]) & (s != h), split(h, s)))
+        ends = lambda n: let(F.substring_index(h, ".", -n), lambda s: F.when(_among(s, known[n]) & (s != h), split(h, s)))
         tried = [ends(n) for n in sorted(known, reverse=True)]
-        return F.when(h.isin(list(suffixes or SUFFIXES)), nothing).otherwise(F.coalesce(*tried, nothing))
+        return F.when(_among(h, sorted(set(suffixes or SUFFIXES))), nothing).otherwise(F.coalesce(*tried, nothing))
 
     return let(host, lambda h: F.when(h.isNotNull(), longest(h)))
 
 
+def _among(value: Column, names: list[str]) -> Column:
+    """Whether a value is one of the names: a short list as one constant, a long one as a set of literals."""
+    return F.array_contains(F.split(F.lit(" ".join(names)), " "), value) if len(names) <= 500 else value.isin(names)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is worked out once. A nested expression would repeat it in each place, as trees of
     expressions share nothing, and soon be too large to compile."""
